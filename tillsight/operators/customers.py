@@ -83,13 +83,15 @@ def segment(rules: SegmentRules = SegmentRules()) -> Column:
 def customer_rfm(cleaned: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
     """C4: recency / frequency / monetary per customer plus its segment.
 
-    Every cleaned line has a customer, so the global last purchase date equals
-    the max over the per-customer last dates: the analysis date is taken from
-    the customer aggregate (whose exchange is reused) instead of a second scan
-    of the facts.  It is one row by construction, so broadcasting it is safe.
+    The analysis date is a global max over the facts: a second read of one
+    column that partially aggregates to a single row per task, so it adds no
+    real shuffle.  (Deriving it from the customer aggregate instead would
+    not share that aggregate's exchange: column pruning makes the two
+    branches differ, and the second branch would re-shuffle by customer.)
+    The anchor is one row by construction, so broadcasting it is safe.
     """
     customers = customer_performance(cleaned)
-    anchor = customers.agg(F.date_add(F.max("LastPurchaseDate"), 1).alias("AnalysisDate"))
+    anchor = analysis_date(cleaned)
     return (
         customers.crossJoin(F.broadcast(anchor))
         .withColumn("RecencyDays", F.datediff(F.col("AnalysisDate"), F.col("LastPurchaseDate")))
