@@ -63,7 +63,7 @@ class SalesTables:
 
     # KPIs and time
     def overall_kpis(self) -> DataFrame:
-        return K.overall_kpis(self.typed, self.cleaned)
+        return K.overall_kpis(self.typed)
 
     def sales_kpis(self) -> DataFrame:
         return K.sales_kpis(self.cleaned)
