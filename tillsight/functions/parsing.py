@@ -22,10 +22,14 @@ DECIMAL_COMMA = ","
 PRICE_TYPE = DecimalType(18, 4)
 
 # Legacy string -> int cast: optional blanks/control bytes around an optional
-# sign, integer digits (may be empty), and an optional '.' fraction that is
-# truncated.  "12.7" -> 12, ".5" -> 0, "1e3" / "abc" / overflow -> NULL.
-_LEGACY_INT = r"^[\x00-\x20\x7f]*([+-]?)([0-9]*)(?:\.[0-9]*)?[\x00-\x20\x7f]*$"
-_HAS_BODY = r"[0-9.]"
+# sign, then at least one digit or dot: integer digits (may be empty) and an
+# optional '.' fraction that is truncated.  "12.7" -> 12, ".5" -> 0,
+# "1e3" / "abc" / "+" / "" / overflow -> NULL.
+_LEGACY_INT = (
+    r"^[\x00-\x20\x7f]*(?<sign>[+-]?)(?=[0-9.])(?<digits>[0-9]*)(?:\.[0-9]*)?[\x00-\x20\x7f]*$"
+)
+# sign, a zero (so an empty integer part reads as 0), then the digits
+_LEGACY_INT_KEEP = "${sign}0${digits}"
 
 
 def trim_spaces(c: Column) -> Column:
@@ -44,12 +48,13 @@ def is_cancelled_invoice(invoice_no: Column) -> Column:
 
 
 def parse_quantity(c: Column) -> Column:
-    """string -> int with the legacy (truncating) cast semantics."""
-    sign = F.regexp_extract(c, _LEGACY_INT, 1)
-    digits = F.regexp_extract(c, _LEGACY_INT, 2)
-    well_formed = c.rlike(_LEGACY_INT) & c.rlike(_HAS_BODY)
-    integral = F.concat(sign, F.when(digits == "", F.lit("0")).otherwise(digits))
-    return F.when(well_formed, integral.try_cast(IntegerType()))
+    """string -> int with the legacy (truncating) cast semantics.
+
+    One regex pass: a well-formed value is rewritten to its signed integer
+    part; anything else is left as is and fails the strict ``try_cast``
+    (which accepts nothing the pattern rejects).
+    """
+    return F.regexp_replace(c, _LEGACY_INT, _LEGACY_INT_KEEP).try_cast(IntegerType())
 
 
 def parse_price(c: Column) -> Column:

@@ -45,9 +45,19 @@ MINUTE_OFFSET_BASE = 360
 MINUTE_OFFSET_MODULUS = 840
 FIXTURE_TIMESTAMP_PATTERN = "dd/MM/yyyy HH:mm"
 
+# Declared types of the test-table columns the adapter reads: no schema
+# inference (footer reads) when a query is built.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _text(c: Column) -> Column:
