@@ -83,17 +83,16 @@ def segment(rules: SegmentRules = SegmentRules()) -> Column:
 def customer_rfm(cleaned: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
     """C4: recency / frequency / monetary per customer plus its segment.
 
-    The analysis date is a global max over the facts: a second read of one
-    column that partially aggregates to a single row per task, so it adds no
-    real shuffle.  (Deriving it from the customer aggregate instead would
-    not share that aggregate's exchange: column pruning makes the two
-    branches differ, and the second branch would re-shuffle by customer.)
-    The anchor is one row by construction, so broadcasting it is safe.
+    The analysis date is a global max over the facts, attached as a scalar
+    subquery: Spark runs it once (a read of one column that partially
+    aggregates to a single row per task) and inlines the value, so there is
+    no join of any kind.  (Deriving it from the customer aggregate instead
+    would not share that aggregate's exchange: column pruning makes the two
+    plans differ, and the second one would re-shuffle by customer.)
     """
     customers = customer_performance(cleaned)
-    anchor = analysis_date(cleaned)
     return (
-        customers.crossJoin(F.broadcast(anchor))
+        customers.withColumn("AnalysisDate", analysis_date(cleaned).scalar())
         .withColumn("RecencyDays", F.datediff(F.col("AnalysisDate"), F.col("LastPurchaseDate")))
         .withColumnsRenamed({"CustomerOrderCount": "Frequency", "CustomerRevenue": "Monetary"})
         .withColumn("CustomerSegment", segment(rules))
