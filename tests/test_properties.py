@@ -1,0 +1,96 @@
+"""Property tests: legacy quantity parse and exact HALF_UP division."""
+
+from __future__ import annotations
+
+from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tillsight.functions.parsing import parse_quantity
+from tillsight.functions.rounding import half_up_div
+
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+
+
+def legacy_to_int(text: str):
+    """Model of the non-ANSI string -> int cast: blanks/control bytes trimmed,
+    optional sign, digits, optional '.' + digits (truncated), else NULL."""
+    data = text.encode("utf-8")
+    blank = lambda b: b <= 0x20 or b == 0x7F
+    i, j = 0, len(data) - 1
+    while i < len(data) and blank(data[i]):
+        i += 1
+    if i == len(data):
+        return None
+    while j > i and blank(data[j]):
+        j -= 1
+    negative = data[i] == ord("-")
+    if data[i] in b"+-":
+        if j == i:
+            return None
+        i += 1
+    value = 0
+    while i <= j:
+        b = data[i]
+        i += 1
+        if b == ord("."):
+            break
+        if not 48 <= b <= 57:
+            return None
+        value = value * 10 + (b - 48)
+        if value > 2**31:
+            return None
+    while i <= j:
+        if not 48 <= data[i] <= 57:
+            return None
+        i += 1
+    value = -value if negative else value
+    return value if INT_MIN <= value <= INT_MAX else None
+
+
+ALPHABET = "0123456789.+-e \t"
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=7), min_size=150, max_size=150))
+def test_quantity_parse_matches_legacy_cast(spark, texts):
+    texts = texts + ["2147483647", "2147483648", "-2147483648", "-2147483649", "00012.9", ".", "+."]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r["q"] for r in df.select(parse_quantity(F.col("v")).alias("q")).collect()]
+    assert got == [legacy_to_int(t) for t in texts]
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.integers(min_value=-(10**15), max_value=10**15),
+            st.integers(min_value=0, max_value=10**9),
+            st.integers(min_value=0, max_value=3),
+        ),
+        min_size=100,
+        max_size=100,
+    )
+)
+def test_half_up_div_is_exact(spark, triples):
+    triples = triples + [(5, 10, 0), (15, 10, 0), (1005, 1000, 2), (-5, 10, 0), (1, 3, 2), (2, 3, 2)]
+    df = spark.createDataFrame(triples, "p long, q long, s int")
+    rows = df.collect()
+    got = []
+    for scale in range(4):
+        sub = df.filter(F.col("s") == scale)
+        got += [
+            (r["p"], r["q"], scale, r["r"])
+            for r in sub.select("p", "q", half_up_div(F.col("p"), F.col("q"), scale).alias("r")).collect()
+        ]
+    assert len(got) == len(rows)
+    with localcontext() as ctx:
+        ctx.prec = 60
+        for p, q, scale, r in got:
+            if q == 0:
+                assert r is None
+                continue
+            expected = (Decimal(p) / Decimal(q)).quantize(Decimal(1).scaleb(-scale), rounding=ROUND_HALF_UP)
+            assert r == expected, (p, q, scale, r, expected)
