@@ -80,7 +80,11 @@ def segment(rules: SegmentRules = SegmentRules()) -> Column:
     )
 
 
-def customer_rfm(cleaned: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
+def customer_rfm(
+    cleaned: DataFrame,
+    rules: SegmentRules = SegmentRules(),
+    customers: DataFrame | None = None,
+) -> DataFrame:
     """C4: recency / frequency / monetary per customer plus its segment.
 
     The analysis date is a global max over the facts, attached as a scalar
@@ -90,7 +94,8 @@ def customer_rfm(cleaned: DataFrame, rules: SegmentRules = SegmentRules()) -> Da
     would not share that aggregate's exchange: column pruning makes the two
     plans differ, and the second one would re-shuffle by customer.)
     """
-    customers = customer_performance(cleaned)
+    if customers is None:
+        customers = customer_performance(cleaned)
     return (
         customers.withColumn("AnalysisDate", analysis_date(cleaned).scalar())
         .withColumn("RecencyDays", F.datediff(F.col("AnalysisDate"), F.col("LastPurchaseDate")))

@@ -4,12 +4,17 @@
 DataFrame.  ``facts`` is what the time, customer and market tables group:
 the cleaned lines by default, or the exact invoice-grain rollup when a plan
 stages it once for many tables.
+
+The aggregates several tables are derived from (monthly, product, customer,
+RFM, country) are built once per instance; a multi-table plan can persist
+them (``persist_shared``) so each is computed once for all its consumers.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tillsight.functions.rounding import decimals_to_double
@@ -48,6 +53,16 @@ EXPORTED_TABLES = (
 )
 
 
+# Aggregates read by more than one exported table.
+SHARED_AGGREGATES = (
+    "monthly_sales_trend",
+    "product_performance",
+    "customer_performance",
+    "customer_rfm",
+    "country_performance",
+)
+
+
 class SalesTables:
     def __init__(
         self,
@@ -60,6 +75,21 @@ class SalesTables:
         self.cleaned = cleaned
         self.params = params or Params()
         self.facts = cleaned if facts is None else facts
+        self._shared: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, build) -> DataFrame:
+        if name not in self._shared:
+            self._shared[name] = build()
+        return self._shared[name]
+
+    def persist_shared(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> list[DataFrame]:
+        """Persist the shared aggregates; the caller materializes and unpersists."""
+        frames = []
+        for name in SHARED_AGGREGATES:
+            getattr(self, name)()
+            self._shared[name] = self._shared[name].persist(level)
+            frames.append(self._shared[name])
+        return frames
 
     # KPIs and time
     def overall_kpis(self) -> DataFrame:
@@ -72,7 +102,7 @@ class SalesTables:
         return K.cancellation_kpis(self.typed)
 
     def monthly_sales_trend(self) -> DataFrame:
-        return M.monthly_sales_trend(self.facts)
+        return self._once("monthly_sales_trend", lambda: M.monthly_sales_trend(self.facts))
 
     def weekday_sales(self) -> DataFrame:
         return M.weekday_sales(self.facts)
@@ -85,7 +115,7 @@ class SalesTables:
 
     # products
     def product_performance(self) -> DataFrame:
-        return R.product_performance(self.cleaned)
+        return self._once("product_performance", lambda: R.product_performance(self.cleaned))
 
     def top_products_by_quantity(self) -> DataFrame:
         return R.top_products_by_quantity(self.product_performance(), self.params.top_n)
@@ -98,7 +128,7 @@ class SalesTables:
 
     # customers
     def customer_performance(self) -> DataFrame:
-        return C.customer_performance(self.facts)
+        return self._once("customer_performance", lambda: C.customer_performance(self.facts))
 
     def top_customers(self) -> DataFrame:
         return C.top_customers(self.customer_performance(), self.params.top_n)
@@ -107,7 +137,10 @@ class SalesTables:
         return C.analysis_date(self.facts)
 
     def customer_rfm(self) -> DataFrame:
-        return C.customer_rfm(self.facts, self.params.segments)
+        return self._once(
+            "customer_rfm",
+            lambda: C.customer_rfm(self.facts, self.params.segments, self.customer_performance()),
+        )
 
     def customer_rfm_top(self) -> DataFrame:
         return C.customer_rfm_top(self.customer_rfm(), self.params.top_n)
@@ -117,7 +150,7 @@ class SalesTables:
 
     # countries and markets
     def country_performance(self) -> DataFrame:
-        return N.country_performance(self.facts)
+        return self._once("country_performance", lambda: N.country_performance(self.facts))
 
     def top_countries_by_revenue(self) -> DataFrame:
         return N.top_countries_by_revenue(self.country_performance(), self.params.top_n)
