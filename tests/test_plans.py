@@ -101,7 +101,6 @@ def test_hot_customer_is_spread_by_invoice(spark, raw_frame):
 def test_job_cli_end_to_end(spark, tmp_path):
     from tillsight.job import main
     from tillsight.plans.scratch import new_run_dir
-    from tillsight.plans.registry import fixture_tables  # noqa: F401
     from tillsight.sinks.files import write_csv
     from tillsight.sources.fixture import raw_invoice_lines
 
