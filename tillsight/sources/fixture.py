@@ -64,12 +64,10 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
-def _order_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
-    )
-    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+def _order_side(orders: DataFrame, customers: DataFrame, nations: DataFrame) -> DataFrame:
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    customers = customers.select("c_custkey", "c_nationkey")
+    nations = nations.select("n_nationkey", "n_name")
 
     key = F.col("o_orderkey")
     cancelled = (F.col("o_orderstatus") == CANCELLED_STATUS) & (
@@ -100,8 +98,8 @@ def _order_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _part_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+def _part_side(part: DataFrame) -> DataFrame:
+    part = part.select("p_partkey", "p_name", "p_retailprice")
     key = F.col("p_partkey")
     price_text = F.replace(
         _text(F.col("p_retailprice").cast("decimal(18,2)")), F.lit("."), F.lit(",")
@@ -121,16 +119,28 @@ def _part_side(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw invoice lines (8 string columns), one per ``lineitem`` row.
+    """Raw invoice lines (8 string columns), one per ``lineitem`` row of the
+    test tables under ``sf_dir``."""
+    return invoice_lines_from_tables(
+        *(_table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "nation", "part"))
+    )
+
+
+def invoice_lines_from_tables(
+    lineitem: DataFrame,
+    orders: DataFrame,
+    customer: DataFrame,
+    nation: DataFrame,
+    part: DataFrame,
+) -> DataFrame:
+    """Raw invoice lines from the five star-schema frames.
 
     Repeated ``(l_orderkey, l_linenumber)`` pairs are kept: the original job
     never de-duplicates invoice lines.
     """
-    lines = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"
-    )
-    orders = _order_side(spark, sf_dir)
-    parts = _part_side(spark, sf_dir)
+    lines = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    orders = _order_side(orders, customer, nation)
+    parts = _part_side(part)
 
     # Line x order is a fact-to-fact join: at any real scale neither side fits
     # a broadcast, so it is declared as a shuffle (sort-merge) join on the
