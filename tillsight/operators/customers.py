@@ -90,14 +90,24 @@ def customer_rfm(
     The analysis date is a global max over the facts, attached as a scalar
     subquery: Spark runs it once (a read of one column that partially
     aggregates to a single row per task) and inlines the value, so there is
-    no join of any kind.  (Deriving it from the customer aggregate instead
-    would not share that aggregate's exchange: column pruning makes the two
-    plans differ, and the second one would re-shuffle by customer.)
+    no join of any kind.
+
+    Every cleaned line has a customer, so the global last purchase date is
+    also the max of the per-customer ``LastPurchaseDate``.  When the caller
+    passes a materialized (persisted) customer aggregate, the anchor is read
+    from it: #customers rows instead of a second pass over every line.  An
+    un-materialized aggregate is not used for this, because column pruning
+    would give the anchor its own plan that re-reads and re-shuffles the
+    facts.
     """
     if customers is None:
         customers = customer_performance(cleaned)
+    if customers.is_cached:
+        anchor = customers.agg(F.date_add(F.max("LastPurchaseDate"), 1).alias("AnalysisDate"))
+    else:
+        anchor = analysis_date(cleaned)
     return (
-        customers.withColumn("AnalysisDate", analysis_date(cleaned).scalar())
+        customers.withColumn("AnalysisDate", anchor.scalar())
         .withColumn("RecencyDays", F.datediff(F.col("AnalysisDate"), F.col("LastPurchaseDate")))
         .withColumnsRenamed({"CustomerOrderCount": "Frequency", "CustomerRevenue": "Monetary"})
         .withColumn("CustomerSegment", segment(rules))
