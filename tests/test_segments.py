@@ -111,3 +111,18 @@ def test_empty_cleaned_table_gives_null_ratios(raw_frame):
     assert r["AverageOrderValue"] is None and r["AverageRevenuePerCustomer"] is None
     assert r["CancelledOrders"] == 1 and r["TotalRawInvoices"] == 1
     assert r["CancellationRatePercent"] == Decimal("100.00")
+
+
+def test_anchor_from_materialized_customers_matches(raw_frame):
+    from tillsight.operators.customers import customer_performance
+
+    rows = [r for cid, (m, f, rec, _) in CASES.items() for r in _customer_rows(cid, m, f, rec)]
+    cleaned = cleaned_sales(typed_sales(raw_frame(rows)))
+    direct = customer_rfm(cleaned)
+    customers = customer_performance(cleaned).persist()
+    try:
+        via_cache = customer_rfm(cleaned, customers=customers)
+        assert via_cache.exceptAll(direct).count() == 0 and direct.exceptAll(via_cache).count() == 0
+        assert "max(LastPurchaseDate" in via_cache._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        customers.unpersist()
