@@ -84,6 +84,7 @@ def customer_rfm(
     cleaned: DataFrame,
     rules: SegmentRules = SegmentRules(),
     customers: DataFrame | None = None,
+    customers_materialized: bool | None = None,
 ) -> DataFrame:
     """C4: recency / frequency / monetary per customer plus its segment.
 
@@ -94,15 +95,17 @@ def customer_rfm(
 
     Every cleaned line has a customer, so the global last purchase date is
     also the max of the per-customer ``LastPurchaseDate``.  When the caller
-    passes a materialized (persisted) customer aggregate, the anchor is read
-    from it: #customers rows instead of a second pass over every line.  An
-    un-materialized aggregate is not used for this, because column pruning
-    would give the anchor its own plan that re-reads and re-shuffles the
-    facts.
+    passes a materialized customer aggregate (persisted, or checkpointed:
+    ``customers_materialized=True``), the anchor is read from it: #customers
+    rows instead of a second pass over every line.  An un-materialized
+    aggregate is not used for this, because column pruning would give the
+    anchor its own plan that re-reads and re-shuffles the facts.
     """
     if customers is None:
         customers = customer_performance(cleaned)
-    if customers.is_cached:
+    if customers_materialized is None:
+        customers_materialized = customers.is_cached
+    if customers_materialized:
         anchor = customers.agg(F.date_add(F.max("LastPurchaseDate"), 1).alias("AnalysisDate"))
     else:
         anchor = analysis_date(cleaned)

@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tillsight.functions.rounding import decimals_to_double
+from tillsight.plans.scratch import checkpointed
 from tillsight.operators import customers as C
 from tillsight.operators import kpis as K
 from tillsight.operators import markets as N
@@ -136,10 +137,23 @@ class SalesTables:
     def analysis_date(self) -> DataFrame:
         return C.analysis_date(self.facts)
 
+    def materialized_customers(self) -> DataFrame:
+        """The customer aggregate, computed once: the persisted shared frame if
+        a plan persisted it, else a reliable checkpoint in the shared
+        checkpoint folder (lineage cut, survives executor loss)."""
+        customers = self.customer_performance()
+        if customers.is_cached:
+            return customers
+        return self._once("customer_checkpoint", lambda: checkpointed(customers))
+
     def customer_rfm(self) -> DataFrame:
+        """RFM from the materialized customer aggregate: the facts are read
+        once, and the analysis date comes from #customers rows."""
         return self._once(
             "customer_rfm",
-            lambda: C.customer_rfm(self.facts, self.params.segments, self.customer_performance()),
+            lambda: C.customer_rfm(
+                self.facts, self.params.segments, self.materialized_customers(), True
+            ),
         )
 
     def customer_rfm_top(self) -> DataFrame:

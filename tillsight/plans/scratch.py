@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR_CONF = "spark.checkpoint.dir"
 
@@ -33,3 +33,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tillsight/{purpose}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint of ``df`` under the shared checkpoint root
+    (never ``localCheckpoint``: that would not survive executor loss)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
