@@ -83,14 +83,13 @@ class SalesTables:
             self._shared[name] = build()
         return self._shared[name]
 
-    def persist_shared(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> list[DataFrame]:
-        """Persist the shared aggregates; the caller materializes and unpersists."""
-        frames = []
+    def persist_shared(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict[str, DataFrame]:
+        """Persist the shared aggregates (in dependency order: RFM is derived
+        from the customer aggregate); the caller materializes and unpersists."""
         for name in SHARED_AGGREGATES:
             getattr(self, name)()
             self._shared[name] = self._shared[name].persist(level)
-            frames.append(self._shared[name])
-        return frames
+        return {name: self._shared[name] for name in SHARED_AGGREGATES}
 
     # KPIs and time
     def overall_kpis(self) -> DataFrame:

@@ -76,15 +76,17 @@ def export_all_tables(
     shared = tables.persist_shared()
     try:
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-            # materialize each shared aggregate once, then write every table
-            list(pool.map(lambda df: df.count(), shared))
+            # materialize each shared aggregate once (RFM after the customer
+            # aggregate it reads), then write every table
+            list(pool.map(lambda df: df.count(), [df for n, df in shared.items() if n != "customer_rfm"]))
+            shared["customer_rfm"].count()
             futures = [
                 pool.submit(_export_one, name, df, output_root)
                 for name, df in tables.exported().items()
             ]
             written = [f.result() for f in futures]
     finally:
-        for df in shared:
+        for df in shared.values():
             df.unpersist()
     counts = [
         read_csv_table(spark, path, schema).agg(F.count(F.lit(1)).alias("RowCount"))
