@@ -63,7 +63,7 @@ def overall_kpis(typed: DataFrame, cleaned: DataFrame | None = None) -> DataFram
     is read and parsed once instead of twice.  Distinct counts of the same
     column with different filters (all / clean / cancelled invoices) share
     one group of Spark's distinct rewrite, so each line is expanded 5 times
-    rather than 7.  The result equals the A1 x A2 one-row cross join.
+    rather than 7.  The result equals A1 and A2 side by side.
     """
     flagged = typed.select(
         "InvoiceNo",

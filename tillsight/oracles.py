@@ -170,19 +170,21 @@ CUSTOMERS = """customers AS (
          sum(Quantity) AS CustomerQuantityPurchased, max(InvoiceDateOnly) AS LastPurchaseDate
   FROM cleaned GROUP BY CustomerID)"""
 
-RFM = """anchor AS (SELECT max(InvoiceDateOnly) + INTERVAL 1 DAY AS AnalysisDate FROM cleaned),
-rfm0 AS (
+RFM = """rfm0 AS (
   SELECT c.CustomerID, c.CustomerRevenue AS Monetary, c.CustomerOrderCount AS Frequency,
-         c.CustomerQuantityPurchased, c.LastPurchaseDate, CAST(a.AnalysisDate AS DATE) AS AnalysisDate,
-         CAST(date_diff('day', c.LastPurchaseDate, CAST(a.AnalysisDate AS DATE)) AS INTEGER) AS RecencyDays
-  FROM customers c CROSS JOIN anchor a),
+         c.CustomerQuantityPurchased, c.LastPurchaseDate,
+         (SELECT CAST(max(InvoiceDateOnly) + INTERVAL 1 DAY AS DATE) FROM cleaned) AS AnalysisDate
+  FROM customers c),
+rfm1 AS (
+  SELECT *, CAST(date_diff('day', LastPurchaseDate, AnalysisDate) AS INTEGER) AS RecencyDays
+  FROM rfm0),
 rfm AS (
   SELECT *, CASE
       WHEN Monetary >= 5000 AND Frequency >= 10 AND RecencyDays <= 60 THEN 'High Value'
       WHEN Frequency >= 5 AND RecencyDays <= 90 THEN 'Active'
       WHEN RecencyDays > 180 THEN 'At Risk'
       ELSE 'Regular' END AS CustomerSegment
-  FROM rfm0)"""
+  FROM rfm1)"""
 
 SEGMENTS = f"""segments AS (
   SELECT CustomerSegment, count(DISTINCT CustomerID) AS CustomerCount,
@@ -216,12 +218,15 @@ cancel_kpis AS (
   SELECT count(DISTINCT InvoiceNo) AS TotalRawInvoices,
          count(DISTINCT CASE WHEN IsCancelled THEN InvoiceNo END) AS CancelledOrders
   FROM typed),
+kpis0 AS (
+  SELECT s.*, (SELECT CancelledOrders FROM cancel_kpis) AS CancelledOrders,
+         (SELECT TotalRawInvoices FROM cancel_kpis) AS TotalRawInvoices
+  FROM sales_kpis s),
 kpis AS (
-  SELECT s.*, {money_ratio('TotalRevenue', 'TotalOrders')} AS AverageOrderValue,
+  SELECT *, {money_ratio('TotalRevenue', 'TotalOrders')} AS AverageOrderValue,
          {money_ratio('TotalRevenue', 'TotalCustomers')} AS AverageRevenuePerCustomer,
-         c.CancelledOrders, c.TotalRawInvoices,
          {count_percent('CancelledOrders', 'TotalRawInvoices')} AS CancellationRatePercent
-  FROM sales_kpis s CROSS JOIN cancel_kpis c)"""
+  FROM kpis0)"""
 
 
 def _with(*ctes: str) -> str:
