@@ -113,12 +113,14 @@ def test_exported_contents_equal_standalone_tables(spark):
     """Staged typed lines + invoice rollup + persisted shared aggregates give
     exactly the tables of the direct (unstaged) plan."""
     from tillsight.plans.catalog import EXPORTED_TABLES
-    from tillsight.plans.export import export_all_tables
+    from tillsight.plans.export import export_all_tables, missing_tables
     from tillsight.plans.registry import FIXTURE_PARAMS
     from tillsight.sources.fixture import raw_invoice_lines
 
     root = new_run_dir(spark, "test-export")
+    assert missing_tables(spark, root) == list(EXPORTED_TABLES)
     export_all_tables(spark, raw_invoice_lines(spark, SF_SMALL), root, FIXTURE_PARAMS).collect()
+    assert missing_tables(spark, root) == []
     direct = fixture_tables(spark, SF_SMALL)
     for name in EXPORTED_TABLES:
         expected = direct.table(name)

@@ -23,6 +23,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +97,21 @@ def export_all_tables(
     return reduce(DataFrame.unionByName, counts)
 
 
+def missing_tables(spark: SparkSession, output_root: str, names=EXPORTED_TABLES) -> list[str]:
+    """The exported tables absent under ``output_root`` (the viewer's check).
+
+    Only file metadata is touched (one listing per table name); nothing is
+    read into the driver.
+    """
+    missing = []
+    for name in names:
+        try:
+            spark.read.option("header", "true").csv(f"{output_root}/{name}/csv").schema
+        except AnalysisException:
+            missing.append(name)
+    return missing
+
+
 # ------------------------------------------------------- registered queries
 def _fixture_params():
     from tillsight.plans.registry import FIXTURE_PARAMS
@@ -138,4 +154,4 @@ def export_all_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export_all_tables(spark, raw_invoice_lines(spark, sf_dir), root, _fixture_params())
 
 
-__all__ = ["EXPORTED_TABLES", "export_all_tables", "stage", "staged_tables"]
+__all__ = ["EXPORTED_TABLES", "export_all_tables", "missing_tables", "stage", "staged_tables"]
