@@ -33,3 +33,23 @@ def test_entry_flagship(spark):
     ]
     got = {r["CustomerSegment"]: r["CustomerCount"] for r in df.collect()}
     assert got == {"Active": 32, "At Risk": 80, "High Value": 11, "Regular": 27}
+
+
+SPARK_TO_DUCKDB = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_column_types_match_oracle(spark, con, key):
+    sdf = entry.queries()[key](spark, SF_SMALL)
+    spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    rel = con.sql(entry.oracle_sql()[key])
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert spark_types == duck_types
