@@ -161,3 +161,27 @@ def test_hot_order_key_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
     assert got["0"] == n // 3 and sum(got.values()) == n
     assert "SortMergeJoin(skew=true)" in plan or "isSkewJoin=true" in plan, plan
+
+
+def test_staged_tables_prune_and_push_down(spark):
+    """Tables over the staged Parquet read only their columns; the cleaning
+    predicates that parquet can evaluate are pushed into the scan."""
+    from tillsight.plans.export import staged_tables
+    from tillsight.plans.registry import FIXTURE_PARAMS
+    from tillsight.sources.fixture import raw_invoice_lines
+
+    tables = staged_tables(spark, raw_invoice_lines(spark, SF_SMALL), FIXTURE_PARAMS)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        products = tables.top_products_by_revenue()._jdf.queryExecution().executedPlan().toString()
+        monthly = tables.monthly_sales_trend()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(l for l in products.splitlines() if "FileScan parquet" in l)
+    assert "GreaterThan(Quantity,0)" in scan and "IsNotNull(IsCancelled)" in scan
+    assert "Country" not in scan.split("ReadSchema")[1]
+    scan = next(l for l in monthly.splitlines() if "FileScan parquet" in l)
+    assert "invoice-rollup" in scan
+    assert scan.split("ReadSchema: ")[1].startswith(
+        "struct<InvoiceNo:string,Revenue:decimal(38,2),Quantity:bigint,YearMonth:string>"
+    )
