@@ -17,8 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR_CONF = "spark.checkpoint.dir"
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions have no driver-side context
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        root = spark.conf.get(CHECKPOINT_DIR_CONF, None)
+        if not root:
+            raise RuntimeError(f"{CHECKPOINT_DIR_CONF} is not set on the Spark server")
+        return root.rstrip("/")
     root = sc.getConf().get(CHECKPOINT_DIR_CONF, None) or sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
@@ -38,5 +51,6 @@ def new_run_dir(spark: SparkSession, purpose: str) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable, eager checkpoint of ``df`` under the shared checkpoint root
     (never ``localCheckpoint``: that would not survive executor loss)."""
-    checkpoint_root(df.sparkSession)
+    if _context(df.sparkSession) is not None:
+        checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
