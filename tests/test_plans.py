@@ -107,7 +107,7 @@ def test_job_cli_end_to_end(spark, tmp_path):
     landing = new_run_dir(spark, "job-input")
     write_csv(raw_invoice_lines(spark, SF_SMALL), landing, sep=";")
     out = str(tmp_path / "out")
-    assert main([landing, out, "--focus-country", "NATION_7"]) == 0
+    assert main([landing, out, "--focus-country", "NATION_7", "--show", "3"]) == 0
     import os
 
     assert sorted(os.listdir(out))[:3] == ["bottom_products_by_revenue", "country_performance", "customer_rfm_top"]

@@ -20,7 +20,7 @@ from tillsight.operators import quality as P
 from tillsight.operators.customers import SegmentRules
 from tillsight.operators.markets import MarketRules
 from tillsight.operators.prepare import typed_sales
-from tillsight.plans.catalog import Params
+from tillsight.plans.catalog import EXPORTED_TABLES, Params
 from tillsight.plans.export import export_all_tables, stage
 from tillsight.sources.delimited import read_invoice_lines
 
@@ -34,6 +34,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--min-customers", type=int, default=MarketRules.min_customers)
     ap.add_argument("--min-orders", type=int, default=MarketRules.min_orders)
     ap.add_argument("--top-n", type=int, default=10)
+    ap.add_argument(
+        "--show", type=int, default=0, metavar="N",
+        help="print the first N rows of every exported table (read back from its CSV)",
+    )
     return ap.parse_args(argv)
 
 
@@ -52,7 +56,13 @@ def main(argv: list[str] | None = None) -> int:
     raw = stage(spark, raw, "raw")
     P.null_or_empty_profile(raw).show(truncate=False)
     P.cleaning_summary(typed_sales(raw)).show(truncate=False)
-    export_all_tables(spark, raw, args.output.rstrip("/"), params).show(truncate=False)
+    root = args.output.rstrip("/")
+    export_all_tables(spark, raw, root, params).show(truncate=False)
+    if args.show > 0:
+        # Console sink over the small written tables: no recomputation.
+        for name in EXPORTED_TABLES:
+            print(f"=== {name}")
+            spark.read.option("header", "true").csv(f"{root}/{name}/csv").show(args.show, truncate=False)
     return 0
 
 
