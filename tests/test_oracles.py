@@ -53,3 +53,16 @@ def test_column_types_match_oracle(spark, con, key):
     rel = con.sql(entry.oracle_sql()[key])
     duck_types = dict(zip(rel.columns, map(str, rel.types)))
     assert spark_types == duck_types
+
+
+@pytest.mark.parametrize("key", ["typed_sales", "date_functions", "weekday_sales", "customer_rfm"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, key):
+    """Timestamps are pinned to TIMESTAMP_NTZ right after parsing, so a
+    non-UTC session (with DST) gives the same rows."""
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        result = compare(spark, con, key, entry.queries()[key], entry.oracle_sql()[key], SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+    assert result["match"], result
