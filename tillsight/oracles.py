@@ -140,8 +140,8 @@ def big(x: str) -> str:
 
 
 # ---------------------------------------------------------------- table CTEs
-# Each entry: name -> (extra CTE body or None, final SELECT).  Table CTEs keep
-# money as exact DECIMAL; the final SELECT publishes doubles.
+# Shared CTE bodies appended after BASE; they keep money as exact DECIMAL and
+# each statement's final SELECT publishes doubles.
 
 MONTHLY = """monthly AS (
   SELECT YearMonth, round(sum(Revenue), 2) AS MonthlyRevenue,
