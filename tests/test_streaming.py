@@ -49,3 +49,19 @@ def test_two_arrivals_match_batch(spark):
     for name in ("overall_kpis", "customer_segment_summary", "monthly_sales_trend"):
         a, b = streamed.table(name), batch.table(name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_ingested_table_exports_directly(spark):
+    """The streaming ingest's typed table feeds the export without re-staging."""
+    from tillsight.plans.export import export_typed_tables
+
+    landing = new_run_dir(spark, "landing-export")
+    os.makedirs(landing)
+    _drop(spark, raw_invoice_lines(spark, SF_SMALL), landing)
+    table = new_run_dir(spark, "typed-table-export")
+    start_typed_ingest(spark, landing, table, new_run_dir(spark, "ingest-ckpt-export")).awaitTermination()
+    manifest = {
+        r["TableName"]: r["RowCount"]
+        for r in export_typed_tables(spark, spark.read.parquet(table), new_run_dir(spark, "export-from-stream"), FIXTURE_PARAMS).collect()
+    }
+    assert len(manifest) == 15 and manifest["overall_kpis"] == 1 and manifest["top_customers"] == 10

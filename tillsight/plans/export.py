@@ -44,7 +44,15 @@ def stage(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
 
 
 def staged_tables(spark: SparkSession, raw: DataFrame, params: Params, rollup: bool = True) -> SalesTables:
-    typed = stage(spark, typed_sales(raw), "typed")
+    """Stage the typed lines (one parse of ``raw``), then the tables over them."""
+    return tables_over_typed(spark, stage(spark, typed_sales(raw), "typed"), params, rollup)
+
+
+def tables_over_typed(
+    spark: SparkSession, typed: DataFrame, params: Params, rollup: bool = True
+) -> SalesTables:
+    """Tables over an already materialized typed table (staged, or written by
+    the streaming ingest), with the invoice rollup staged once."""
     cleaned = cleaned_sales(typed)
     facts = stage(spark, invoice_rollup(cleaned), "invoice-rollup") if rollup else None
     return SalesTables(typed, cleaned, params, facts)
@@ -73,7 +81,22 @@ def export_all_tables(
     threads: int = EXPORT_THREADS,
 ) -> DataFrame:
     """Write the fifteen result tables as CSV and JSON; return the manifest."""
-    tables = staged_tables(spark, raw, params or Params(), rollup)
+    return _export(spark, staged_tables(spark, raw, params or Params(), rollup), output_root, threads)
+
+
+def export_typed_tables(
+    spark: SparkSession,
+    typed: DataFrame,
+    output_root: str,
+    params: Params | None = None,
+    rollup: bool = True,
+    threads: int = EXPORT_THREADS,
+) -> DataFrame:
+    """S8 over a materialized typed table, e.g. the streaming ingest's output."""
+    return _export(spark, tables_over_typed(spark, typed, params or Params(), rollup), output_root, threads)
+
+
+def _export(spark: SparkSession, tables: SalesTables, output_root: str, threads: int) -> DataFrame:
     shared = tables.persist_shared()
     try:
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
@@ -154,4 +177,12 @@ def export_all_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export_all_tables(spark, raw_invoice_lines(spark, sf_dir), root, _fixture_params())
 
 
-__all__ = ["EXPORTED_TABLES", "export_all_tables", "missing_tables", "stage", "staged_tables"]
+__all__ = [
+    "EXPORTED_TABLES",
+    "export_all_tables",
+    "export_typed_tables",
+    "missing_tables",
+    "stage",
+    "staged_tables",
+    "tables_over_typed",
+]
