@@ -58,7 +58,7 @@ def tables_over_typed(
     return SalesTables(typed, cleaned, params, facts)
 
 
-EXPORT_THREADS = 4
+EXPORT_THREADS = 8
 
 
 def _export_one(name: str, df: DataFrame, output_root: str):
