@@ -18,6 +18,7 @@ def test_bench_prints_one_json_line():
         BENCH_REPEATS="1",
         BENCH_KEYS="monthly_sales_trend,overall_kpis",
         BENCH_DRIVER_MEMORY="2g",
+        BENCH_WARMUP_ROUNDS="0",
     )
     out = subprocess.run(
         [sys.executable, os.path.join(ROOT, "bench.py")],
