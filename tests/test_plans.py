@@ -23,8 +23,6 @@ def queries():
 
 @pytest.mark.parametrize("key", sorted(entry.queries()))
 def test_no_python_udf(spark, queries, key):
-    if key.startswith("export_") or key == "csv_source_scan":
-        pytest.skip("writes files while building; covered by sink tests")
     plan = _plan(queries[key](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan, key
