@@ -34,6 +34,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--min-customers", type=int, default=MarketRules.min_customers)
     ap.add_argument("--min-orders", type=int, default=MarketRules.min_orders)
     ap.add_argument("--top-n", type=int, default=10)
+    ap.add_argument(
+        "--json-array", action="store_true",
+        help="write each table's JSON as one array of objects instead of JSON Lines",
+    )
     ap.add_argument(
         "--show", type=int, default=0, metavar="N",
         help="print the first N rows of every exported table (read back from its CSV)",
@@ -57,7 +61,8 @@ def main(argv: list[str] | None = None) -> int:
     P.null_or_empty_profile(raw).show(truncate=False)
     P.cleaning_summary(typed_sales(raw)).show(truncate=False)
     root = args.output.rstrip("/")
-    export_all_tables(spark, raw, root, params).show(truncate=False)
+    json_format = "array" if args.json_array else "lines"
+    export_all_tables(spark, raw, root, params, json_format=json_format).show(truncate=False)
     if args.show > 0:
         # Console sink over the small written tables: no recomputation.
         for name in EXPORTED_TABLES:

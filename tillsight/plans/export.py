@@ -31,7 +31,13 @@ from tillsight.operators.prepare import cleaned_sales, typed_sales
 from tillsight.plans.catalog import EXPORTED_TABLES, Params, SalesTables
 from tillsight.plans.rollup import invoice_rollup
 from tillsight.plans.scratch import new_run_dir
-from tillsight.sinks.files import read_csv_table, read_json_table, write_csv, write_json
+from tillsight.sinks.files import (
+    read_csv_table,
+    read_json_table,
+    write_csv,
+    write_json,
+    write_json_array,
+)
 from tillsight.sources.delimited import read_invoice_lines
 from tillsight.sources.fixture import raw_invoice_lines
 
@@ -61,12 +67,18 @@ def tables_over_typed(
 EXPORT_THREADS = 8
 
 
-def _export_one(name: str, df: DataFrame, output_root: str):
+JSON_FORMATS = ("lines", "array")
+
+
+def _export_one(name: str, df: DataFrame, output_root: str, json_format: str = "lines"):
     """One table: computed once (kept for its second format), written twice."""
     result = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         csv_path = write_csv(result, f"{output_root}/{name}/csv", small=True)
-        write_json(result, f"{output_root}/{name}/json", small=True)
+        if json_format == "array":
+            write_json_array(result, f"{output_root}/{name}/json")
+        else:
+            write_json(result, f"{output_root}/{name}/json", small=True)
     finally:
         result.unpersist()
     return name, csv_path, result.schema
@@ -79,9 +91,15 @@ def export_all_tables(
     params: Params | None = None,
     rollup: bool = True,
     threads: int = EXPORT_THREADS,
+    json_format: str = "lines",
 ) -> DataFrame:
-    """Write the fifteen result tables as CSV and JSON; return the manifest."""
-    return _export(spark, staged_tables(spark, raw, params or Params(), rollup), output_root, threads)
+    """Write the fifteen result tables as CSV and JSON; return the manifest.
+
+    ``json_format="array"`` writes each table as one JSON array of objects
+    (the original's file shape) instead of JSON Lines.
+    """
+    tables = staged_tables(spark, raw, params or Params(), rollup)
+    return _export(spark, tables, output_root, threads, json_format)
 
 
 def export_typed_tables(
@@ -91,12 +109,18 @@ def export_typed_tables(
     params: Params | None = None,
     rollup: bool = True,
     threads: int = EXPORT_THREADS,
+    json_format: str = "lines",
 ) -> DataFrame:
     """S8 over a materialized typed table, e.g. the streaming ingest's output."""
-    return _export(spark, tables_over_typed(spark, typed, params or Params(), rollup), output_root, threads)
+    tables = tables_over_typed(spark, typed, params or Params(), rollup)
+    return _export(spark, tables, output_root, threads, json_format)
 
 
-def _export(spark: SparkSession, tables: SalesTables, output_root: str, threads: int) -> DataFrame:
+def _export(
+    spark: SparkSession, tables: SalesTables, output_root: str, threads: int, json_format: str
+) -> DataFrame:
+    if json_format not in JSON_FORMATS:
+        raise ValueError(f"json_format must be one of {JSON_FORMATS}")
     shared = tables.persist_shared()
     try:
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
@@ -105,7 +129,7 @@ def _export(spark: SparkSession, tables: SalesTables, output_root: str, threads:
             list(pool.map(lambda df: df.count(), [df for n, df in shared.items() if n != "customer_rfm"]))
             shared["customer_rfm"].count()
             futures = [
-                pool.submit(_export_one, name, df, output_root)
+                pool.submit(_export_one, name, df, output_root, json_format)
                 for name, df in tables.exported().items()
             ]
             written = [f.result() for f in futures]

@@ -9,7 +9,8 @@ partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # ISO-8601 value serialisation.
@@ -59,6 +60,27 @@ def write_json(df: DataFrame, path: str, small: bool = False, **options: str) ->
     return path
 
 
+def write_json_array(df: DataFrame, path: str, **options: str) -> str:
+    """S6, array form: ONE JSON array of row objects, in the frame's order.
+
+    For bounded result tables only (at most #countries rows or k): the rows
+    are gathered into a single array value by one aggregate.  Order is made
+    explicit with a position rather than relying on collection order.
+    """
+    position = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    numbered = df.coalesce(1).select(position.alias("_pos"), F.struct(*df.columns).alias("_row"))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_row"))), lambda e: e["_row"])
+    settings = {**JSON_OPTIONS, "ignoreNullFields": "false", **options}
+    text = numbered.agg(F.to_json(rows, settings).alias("value"))
+    text.write.mode("overwrite").text(path)
+    return path
+
+
+def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read back a ``write_json_array`` file (a top-level JSON array)."""
+    return spark.read.schema(schema).options(**JSON_OPTIONS, multiLine="true", mode="FAILFAST").json(path)
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
     """Re-read an exported CSV table with its declared schema."""
     return spark.read.schema(schema).options(**{**CSV_READ_OPTIONS, **options}).csv(path)
