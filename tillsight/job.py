@@ -21,7 +21,7 @@ from tillsight.operators.customers import SegmentRules
 from tillsight.operators.markets import MarketRules
 from tillsight.operators.prepare import typed_sales
 from tillsight.plans.catalog import EXPORTED_TABLES, Params
-from tillsight.plans.export import export_all_tables, stage
+from tillsight.plans.export import export_typed_tables, stage
 from tillsight.sources.delimited import read_invoice_lines
 
 
@@ -55,14 +55,16 @@ def main(argv: list[str] | None = None) -> int:
     )
     raw = read_invoice_lines(spark, args.input, columns=None)
     raw.printSchema()
-    # Parse the text once: the profiles and the export read a staged
-    # columnar copy in the shared checkpoint folder instead of the CSV.
+    # Parse the text once and type it once: the raw profile reads a staged
+    # columnar copy of the lines, the cleaning summary and every table read
+    # the staged typed lines (both in the shared checkpoint folder).
     raw = stage(spark, raw, "raw")
     P.null_or_empty_profile(raw).show(truncate=False)
-    P.cleaning_summary(typed_sales(raw)).show(truncate=False)
+    typed = stage(spark, typed_sales(raw), "typed")
+    P.cleaning_summary(typed).show(truncate=False)
     root = args.output.rstrip("/")
     json_format = "array" if args.json_array else "lines"
-    export_all_tables(spark, raw, root, params, json_format=json_format).show(truncate=False)
+    export_typed_tables(spark, typed, root, params, json_format=json_format).show(truncate=False)
     if args.show > 0:
         # Console sink over the small written tables: no recomputation.
         for name in EXPORTED_TABLES:
