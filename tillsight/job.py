@@ -6,7 +6,7 @@
 Input is any Hadoop-compatible path (file, folder or glob) of ';' invoice
 CSVs.  The text is parsed once into a staged Parquet copy.  Console output
 uses ``show`` on one-row / bounded results only; the tables themselves are
-written by executors (``export_all_tables``).
+written by executors (``export_typed_tables``).
 """
 
 from __future__ import annotations
