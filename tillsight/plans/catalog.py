@@ -65,6 +65,14 @@ SHARED_AGGREGATES = (
 
 
 class SalesTables:
+    """Named result tables over one typed / cleaned pair.
+
+    Each accessor returns a lazy DataFrame; the shared aggregates are built
+    once per instance.  Call ``persist_shared`` before asking for tables when
+    many of them will be computed (the export does); otherwise the RFM tables
+    checkpoint the customer aggregate so the facts are still read once.
+    """
+
     def __init__(
         self,
         typed: DataFrame,
