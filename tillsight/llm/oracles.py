@@ -1,0 +1,95 @@
+"""DuckDB SQL for the queries that SQL can express."""
+
+from __future__ import annotations
+
+_BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
+
+LINE_DEDUP = f"""
+WITH split AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents),
+placed AS (
+  SELECT doc_id, source, unnest(ls) AS raw, generate_subscripts(ls, 1) AS pos FROM split),
+trimmed AS (SELECT doc_id, source, raw, pos, trim(raw, {_BLANK}) AS line FROM placed),
+boiler AS (
+  SELECT line, min(doc_id) AS first_id FROM trimmed WHERE line <> ''
+  GROUP BY line HAVING count(DISTINCT source) >= 5),
+marked AS (
+  SELECT t.*, b.line IS NOT NULL AND b.first_id IS DISTINCT FROM t.doc_id AS goes
+  FROM trimmed t LEFT JOIN boiler b ON t.line = b.line)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE goes) AS n_removed,
+       coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT goes), '') AS text
+FROM marked GROUP BY doc_id
+"""
+
+_CONTROLS = ("<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]")
+
+
+def _inserted(text: str) -> str:
+    """Characters that escaping adds: one per backslash and per control string."""
+    parts = [f"(length({text}) - length(replace({text}, '\\', '')))"]
+    parts += [f"(length({text}) - length(replace({text}, '{c}', ''))) // {len(c)}" for c in _CONTROLS]
+    return " + ".join(parts)
+
+
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+seen AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) IS DISTINCT FROM role AS starts FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(text) + {_inserted("text")}
+           + CASE WHEN starts THEN 12 + 10 + 10 + length(role) + {_inserted("role")} ELSE 11 END) AS BIGINT) AS formatted_chars
+FROM seen GROUP BY conv_id
+"""
+
+TOPK = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATION = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + least(len(w), 10) - 1), ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM docs),
+lengths AS (SELECT DISTINCT n FROM windows),
+hits AS (
+  SELECT p.doc_id, p.s, x.n, x.item_id
+  FROM (SELECT doc_id, s, l.n AS n, array_to_string(list_slice(w, s, s + l.n - 1), ' ') AS phrase
+        FROM placed, lengths l WHERE s + l.n - 1 <= len(w)) p
+  JOIN windows x ON p.phrase = x.phrase AND p.n = x.n),
+covered AS (
+  SELECT doc_id, count(DISTINCT at) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS at FROM hits) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id
+"""
+
+ORACLES = {
+    "op1_line_dedup": LINE_DEDUP,
+    "op6_chat_formatting": CHAT,
+    "op8_exact_topk": TOPK,
+}
