@@ -7,6 +7,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_harness import compare, duck
+from tillsight.oracles import oracle_statements
+from tillsight.plans.registry import registered_queries
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +16,17 @@ def con():
     return duck(SF_SMALL)
 
 
+QUERIES, ORACLES = registered_queries(), oracle_statements()
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    result = compare(spark, con, key, entry.queries()[key], entry.oracle_sql()[key], SF_SMALL)
+    result = compare(spark, con, key, QUERIES[key], ORACLES[key], SF_SMALL)
     assert result["columns_match"], result
     assert result["spark_rows"] == result["oracle_rows"], result
     assert result["match"], result
@@ -46,11 +52,11 @@ SPARK_TO_DUCKDB = {
 }
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_column_types_match_oracle(spark, con, key):
-    sdf = entry.queries()[key](spark, SF_SMALL)
+    sdf = QUERIES[key](spark, SF_SMALL)
     spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString()) for f in sdf.schema.fields}
-    rel = con.sql(entry.oracle_sql()[key])
+    rel = con.sql(ORACLES[key])
     duck_types = dict(zip(rel.columns, map(str, rel.types)))
     assert spark_types == duck_types
 
@@ -62,7 +68,7 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, key):
     previous = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
-        result = compare(spark, con, key, entry.queries()[key], entry.oracle_sql()[key], SF_SMALL)
+        result = compare(spark, con, key, QUERIES[key], ORACLES[key], SF_SMALL)
     finally:
         spark.conf.set("spark.sql.session.timeZone", previous)
     assert result["match"], result

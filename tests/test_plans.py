@@ -8,8 +8,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tillsight.plans.registry import registered_queries
 
 
 def _plan(df) -> str:
@@ -18,10 +18,10 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def queries():
-    return entry.queries()
+    return registered_queries()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registered_queries()))
 def test_no_python_udf(spark, queries, key):
     plan = _plan(queries[key](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
