@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import random
+import struct
+from collections import defaultdict
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
+
+from tests.llm.frames import docs_frame, edge_rows, prose
+from tillsight.llm import mixing, queries
+
+
+def corpus(seed=1, n=900):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = rng.choice(["en", "en", "en", "de", "fr", None])
+        source = "hot" if rng.random() < 0.4 else rng.choice(["a", "b", "c", None])
+        rows.append((i, prose(rng, rng.choice([5, 50, 150, 700])), lang, source))
+    return rows
+
+
+def plain_rake(tokens, targets, fraction, tolerance, rounds):
+    """Dense iterative proportional fitting with probabilities trimmed at 1."""
+    p = np.full(tokens.shape, fraction)
+    for _ in range(rounds):
+        before = p.copy()
+        for axis, target in enumerate(targets):
+            other = tuple(a for a in range(tokens.ndim) if a != axis)
+            now = (tokens * p).sum(axis=other)
+            factor = np.where(now > 0, target / np.where(now > 0, now, 1), 1)
+            p = np.minimum(1, p * factor.reshape([-1 if a == axis else 1 for a in range(tokens.ndim)]))
+        if (np.abs(p - before) / before).max() <= tolerance:
+            break
+    return p
+
+
+def test_rake_against_dense_fitting(spark):
+    rng = np.random.default_rng(2)
+    tokens = np.rint(rng.random((4, 3, 2)) * 1000)
+    share = lambda n: (lambda x: x / x.sum())(rng.random(n) + 0.5) * 0.4 * tokens.sum()
+    targets = [share(4), share(3), share(2)]
+    cells = [(f"s{a}", f"l{b}", f"t{c}", float(tokens[a, b, c])) for a in range(4) for b in range(3) for c in range(2)]
+    frame = spark.createDataFrame(cells, "__source string, __lang string, __topic string, __tokens double")
+    tables = {
+        m: spark.createDataFrame([(f"{x}{i}", float(v)) for i, v in enumerate(t)], "__m string, __target double")
+        for m, x, t in zip(("source", "lang", "topic"), "slt", targets, strict=True)
+    }
+    got = {(r["__source"], r["__lang"], r["__topic"]): r["__p"] for r in mixing.rake(frame, tables, 0.4, 1e-4).collect()}
+    wanted = plain_rake(tokens, targets, 0.4, 1e-4, mixing.MAX_ROUNDS)
+    assert all(np.isclose(got[f"s{a}", f"l{b}", f"t{c}"], wanted[a, b, c], rtol=1e-9) for a in range(4) for b in range(3) for c in range(2))
+    met = (tokens * wanted).sum(axis=(1, 2))
+    assert np.allclose(met, targets[0], rtol=0.02)
+
+
+def test_targets_ask_for_no_more_than_there_is(spark):
+    cells = spark.createDataFrame([("a", 1000.0), ("b", 30.0), ("c", 10.0), ("d", 0.0)], "__source string, __tokens double")
+    got = {r["__m"]: r["__target"] for r in mixing.tempered_targets(cells, "source", 1040.0, 0.9, 0.3).collect()}
+    assert got["b"] == 30 and got["c"] == 10 and got["d"] == 0 and np.isclose(sum(got.values()), 0.9 * 1040)
+
+
+def test_margins_and_sample(spark):
+    rows = corpus()
+    out = mixing.mixed(docs_frame(spark, rows)).collect()
+    assert len(out) == len(rows) and all(0 < r["__p"] <= 1 for r in out)
+    total = sum(r["__tokens"] for r in out)
+    assert [r["__tokens"] for r in sorted(out, key=lambda r: r.doc_id)] == [len(t.split()) for _, t, _, _ in rows]
+    for margin in ("source", "lang", "topic"):
+        have, expected, drawn = defaultdict(float), defaultdict(float), defaultdict(float)
+        for r in out:
+            have[r[margin]] += r["__tokens"]
+            expected[r[margin]] += r["__tokens"] * r["__p"]
+            drawn[r[margin]] += r["__tokens"] * r["__sampled"]
+        assert np.isclose(sum(expected.values()), 0.5 * total, rtol=0.03)
+        assert np.isclose(sum(drawn.values()), 0.5 * total, rtol=0.12)
+        most = max(have, key=have.get)  # tempering takes from the largest
+        assert expected[most] / sum(expected.values()) < have[most] / total + 0.01
+
+
+def test_sampling_follows_the_hash(spark):
+    rows = corpus(3, 200)
+    out = mixing.mixed(docs_frame(spark, rows)).collect()
+    for r in out:
+        h = xxhash.xxh64_intdigest(r.text.encode(), seed=int(np.uint64(np.int64(_long(r.doc_id, _int(mixing.SEED, 42))))))
+        assert r["__sampled"] == ((h >> 11) / 2**53 < r["__p"])
+
+
+def _int(value, seed):
+    """XXH64 of a 32-bit value, as a signed long."""
+    return int(np.uint64(xxhash.xxh64_intdigest(struct.pack("<i", value), seed=seed)).astype(np.int64))
+
+
+def _long(value, seed):
+    return int(np.uint64(xxhash.xxh64_intdigest(struct.pack("<q", value), seed=int(np.int64(seed).astype(np.uint64)))).astype(np.int64))
+
+
+def test_query_and_edges(spark, tmp_path):
+    rows = edge_rows()
+    docs = docs_frame(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op3_mixing(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "source", "lang", "topic", "tokens", "probability", "sampled"] and out.count() == len(rows)
+    assert mixing.mixed(docs.limit(0)).count() == 0
+    own = docs.withColumn("topic", F.lit("x")).withColumn("shard", F.lit(1))
+    assert mixing.sample_mixture(own).columns == own.columns
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

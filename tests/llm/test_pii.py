@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from tests.llm.frames import docs_frame, edge_rows, prose
+from tillsight.llm import pii, queries
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for n, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + n % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def plain_spans(text):
+    """The contract's patterns, as written."""
+    out = {}
+    for kind, pattern in PATTERNS.items():
+        out[kind] = []
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {
+                "email": True,
+                "ip": all(int(p) <= 255 for p in m.group().split(".")),
+                "card": 13 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if ok:
+                out[kind].append(m.span())
+    return out
+
+
+ALPHABET = ["1", "4", "25", "255", "256", "007", ".", ".", "..", "-", " ", "  ", "+", "@", "@@", "a", "b.c", "é", "(", ")", "x@y.z", "a.b@c-d.e.f", "1.2.3.4", "4111111111111111", "4111 1111-1111 1111", "+49 (30) 123-4567", "\n", "😀", "_%"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_base_spans(seed):
+    rng = random.Random(seed)
+    for _ in range(1500):
+        text = "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(0, 14)))
+        assert pii.base_spans(text) == plain_spans(text), text
+
+
+@pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000 + "@", "@" * 100_000, "1." * 100_000, "+1" * 100_000, "1 " * 100_000, "a.b-" * 50_000 + "@x.y"])
+def test_long_runs_take_no_quadratic_time(text):
+    pii.base_spans(text)
+
+
+def case():
+    """Entities with a term that always stands near them, one that often does, and common words."""
+    rng = random.Random(12)
+    rows = [r for r in edge_rows() if r[0] != 9 and r[0] != 10]
+    for i in range(200):
+        text = prose(rng, 30, 25)
+        if i < 8:
+            text = f"{text[:60]} zaphod called ann@example.org and bebbled {text[60:]} nr{i}"
+        elif i < 14:
+            text = f"{text} bebbled zaphodx {i}"
+        rows.append((100 + i, text, "en", "a"))
+    return rows
+
+
+def plain_terms(texts, support, threshold):
+    """Shares by brute force over whole texts."""
+    n_t, n_c, n_ct, distinct = defaultdict(int), defaultdict(int), defaultdict(int), defaultdict(set)
+    fold = lambda s: "".join(c.lower() if "A" <= c <= "Z" else c for c in s)
+    terms = lambda s: {w for w in re.findall(r"[A-Za-z\x80-\U0010ffff]+", fold(s)) if len(w.encode()) >= pii.MIN_TERM_BYTES}
+    for text in texts:
+        for t in terms(text or ""):
+            n_t[t] += 1
+        by_entity = defaultdict(list)
+        for kind, spans in plain_spans(text or "").items():
+            for a, b in spans:
+                value = text[a:b].lower() if kind == "email" else re.sub("[^0-9.]", "", text[a:b])
+                by_entity[kind, value].append(pii._near_terms(text, a, b))
+        for e, near in by_entity.items():
+            n_c[e] += 1
+            for t in terms("\n".join(near)):
+                n_ct[e, t] += 1
+                distinct[e, t].add(text)
+    share = {}
+    for (e, t), n in n_ct.items():
+        if len(distinct[e, t]) >= support and n_c[e] < len(texts):
+            share[t] = max(share.get(t, -math.inf), 1 + math.log(n / n_t[t]) / math.log(len(texts) / n_c[e]))
+    return {t: s for t, s in share.items() if s >= threshold}
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    rows = case()
+    docs_frame(spark, rows).coalesce(3).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op7_pii(spark, str(tmp_path)).collect()
+    told = plain_terms([r[1] for r in rows], pii.SUPPORT, pii.GENERALISE)
+    assert "zaphod" in told and "called" in told and "bebbled" not in told
+    wanted = []
+    for i, text, _, _ in rows:
+        spans = plain_spans(text)
+        base = [f"{k}:{a}:{b}" for k in pii.KINDS for a, b in spans[k]]
+        added = [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[A-Za-z\x80-\U0010ffff]+", text or "") if m.group().lower() in told]
+        sha = hashlib.sha256(",".join(base).encode()).hexdigest()
+        wanted.append((i, *(len(spans[k]) for k in pii.KINDS), sha, ",".join(base + added)))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1:])
+    got = [(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256, r.spans) for r in out]
+    assert sorted(got, key=key) == sorted(wanted, key=key)
+
+
+def test_sanitised(spark):
+    rows = case()
+    out = {r.doc_id: r.text for r in pii.sanitised(docs_frame(spark, rows), remove=0.99).collect() if r.doc_id}
+    assert "[EMAIL]" in out[100] and "zaphod" not in out[100] and "example" not in out[100] and "bebbled" in out[100]
+    assert out[1] is None and out[2] == ""
+    kept = {r.doc_id: r.text for r in pii.sanitised(docs_frame(spark, rows), remove=1.5).collect() if r.doc_id}
+    assert "[TERM] [TERM] [EMAIL]" in kept[100]
+
+
+def test_edges(spark):
+    docs = docs_frame(spark, edge_rows())
+    assert pii.find_spans(docs).count() == len(edge_rows())
+    assert pii.find_spans(docs.limit(0)).count() == 0
+
+
+def test_bit_set_has_every_term(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    terms = np.concatenate((rng.integers(-(1 << 63), 1 << 63, 500), [0, -1, (1 << 63) - 1, -(1 << 63)]))
+    frame = spark.createDataFrame([(int(t),) for t in terms], "term long")
+    bits = np.unpackbits(pii._bit_set(frame)).view(bool)
+    assert bits[pii._slots(terms)].all() and bits.sum() == len(set(pii._slots(terms).tolist()))

@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.oracle_harness import compare, duck
+from tillsight.llm import queries, topk
+from tillsight.llm.oracles import TOPK
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def plain(rows, is_query, k):
+    usable = []
+    for n, (i, v) in enumerate(rows):
+        if v is not None and all(x is not None and math.isfinite(x) for x in v):
+            usable.append((n, i, [math.floor(64 * float(np.float32(x))) for x in v]))
+    out = []
+    for n, i, q in usable:
+        if i is not None and is_query(i):
+            scores = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), j if j is not None else 1 << 62, m) for m, j, v in usable if m != n)
+            out += [(i, r, j if j != 1 << 62 else None, -s) for r, (s, j, _) in enumerate(scores[:k], 1)]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("n", "dims", "k", "shard", "spread"), [(300, 8, 5, 64, 1.0), (200, 4, 20, 1000, 0.02), (15, 3, 20, 4, 1.0), (400, 16, 7, 100, 0.3)])
+def test_against_brute_force(spark, monkeypatch, n, dims, k, shard, spread):
+    monkeypatch.setattr(topk, "LEAF", 8)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    rng = random.Random(n)
+    rows = [(i, [float(np.float32(rng.gauss(0, spread))) for _ in range(dims)]) for i in range(n)]
+    rows += [(n + i, rows[3][1]) for i in range(n // 4)]  # a large group of equal vectors
+    rows += [(7, rows[9][1]), (7, rows[7][1])]  # repeated ids
+    rows += [(9001, None), (9002, [1.0, None]), (9003, [float("nan")] * dims), (9004, [float("inf")] * dims), (9005, []), (9006, [2.0])]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = topk.top_k(frame, F.col("vec_id") % 7 == 0, k, shard_rows=shard).collect()
+    assert sorted(((r.query_id, r["rank"], r.vec_id, r.score) for r in got), key=str) == plain(rows, lambda i: i % 7 == 0, k)
+
+
+def test_empty_and_no_queries(spark):
+    frame = spark.createDataFrame([(1, [1.0]), (2, [2.0])], SCHEMA)
+    assert topk.top_k(frame, F.col("vec_id") % 20 == 0, 5).count() == 0
+    assert topk.top_k(frame.limit(0), F.col("vec_id") % 20 == 0, 5).count() == 0
+
+
+def test_bounds_prune_leaves():
+    rng = np.random.default_rng(5)
+    points = np.rint(np.concatenate([rng.normal(c, 1, (200, 6)) for c in (0, 50, -50, 100)]))
+    tree = topk.BallTree(np.arange(len(points)), np.arange(len(points)), points)
+    queries_ = points[::100]
+    norms = np.sqrt((queries_**2).sum(axis=1))
+    upper = tree.upper(queries_, norms)
+    for node, (a, b) in enumerate(tree.bounds):
+        assert (upper[:, node] >= (queries_ @ tree.points[a:b].T).max(axis=1)).all()
+    seen = []
+    add = topk._Best.add
+    topk._Best.add = lambda self, which, scores, ids, rows: (seen.append(scores.size), add(self, which, scores, ids, rows))[1]
+    try:
+        topk.search(tree, np.arange(0, len(points), 100), queries_, np.full(len(queries_), -np.inf), 5, False)
+    finally:
+        topk._Best.add = add
+    assert sum(seen) < 0.6 * len(queries_) * len(points)
+
+
+def test_query_matches_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    result = compare(spark, duck(sf), "op8", queries.op8_exact_topk, TOPK, sf)
+    assert result["columns_match"] and result["match"], result

@@ -31,7 +31,8 @@ SAMPLE_WORDS = 30_000
 PASSES = 2
 SMOOTHING = 0.05
 LONGEST = 16
-CACHE_WORDS = 300_000
+#: Numbers that a task keeps of words it has seen: words times languages.
+CACHE_NUMBERS = 1_200_000
 UNDETERMINED = "und"
 _START = "▁"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -149,7 +150,8 @@ class Scorer:
         self.longest = max(map(len, self.pieces), default=1)
         self.floor = SMOOTHING / max(1, len(table)) / 10
         self.known: dict[str, int] = {}
-        self.rows = np.empty((CACHE_WORDS, len(languages)))
+        self.room = max(64, CACHE_NUMBERS // max(1, len(languages)))
+        self.rows = np.empty((self.room, len(languages)))
 
     def word(self, word: str) -> list[float]:
         """Natural logarithm of the sum over all segmentations, per language, by a forward pass."""
@@ -184,9 +186,9 @@ class Scorer:
         if not words or not self.languages:
             return None
         total, known = np.zeros(len(self.languages)), self.known
-        for at in range(0, len(words), CACHE_WORDS // 4):
-            part = words[at : at + CACHE_WORDS // 4]
-            if len(known) + len(part) > CACHE_WORDS:
+        for at in range(0, len(words), self.room // 4):
+            part = words[at : at + self.room // 4]
+            if len(known) + len(part) > self.room:
                 known.clear()
             for w in part:
                 if w not in known:

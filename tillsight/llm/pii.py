@@ -116,7 +116,7 @@ def _terms(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nd
         at = to
 
 
-def _near_terms(text: str, start: int, end: int) -> pa.Array:
+def _near_terms(text: str, start: int, end: int) -> str:
     """The text on both sides of an entity, without words that the cut may have split."""
     left, right = text[max(0, start - NEAR_CHARS) : start], text[end : end + NEAR_CHARS]
     if start > NEAR_CHARS:
