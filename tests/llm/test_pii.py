@@ -35,11 +35,11 @@ def plain_spans(text):
         for m in re.finditer(pattern, text or ""):
             digits = re.sub("[^0-9]", "", m.group())
             ok = {
-                "email": True,
-                "ip": all(int(p) <= 255 for p in m.group().split(".")),
-                "card": 13 <= len(digits) <= 19 and luhn(digits),
-                "phone": 9 <= len(digits) <= 15,
-            }[kind]
+                "email": lambda: True,
+                "ip": lambda: all(int(p) <= 255 for p in m.group().split(".")),
+                "card": lambda: 13 <= len(digits) <= 19 and luhn(digits),
+                "phone": lambda: 9 <= len(digits) <= 15,
+            }[kind]()
             if ok:
                 out[kind].append(m.span())
     return out
