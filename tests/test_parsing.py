@@ -42,13 +42,19 @@ def test_quantity_legacy_cast(spark, text, expected):
 @pytest.mark.parametrize(
     "text, expected",
     [
-        ("2,55", Decimal("2.5500")),
-        (",5", Decimal("0.5000")),
+        ("2,55", 2.55),
+        (",5", 0.5),
         ("1.234,50", None),  # all commas replaced -> two dots -> NULL
         ("N/A", None),
         ("NaN", None),
-        ("0", Decimal("0.0000")),
-        ("3.14159", Decimal("3.1416")),
+        ("0", 0.0),
+        ("3.14159", 3.14159),
+        ("0,00004", 0.00004),
+        ("1e30", 1e30),
+        ("5d", None),
+        ("0x1p3", None),
+        ("Infinity", None),
+        ("1e999", None),
     ],
 )
 def test_price_decimal_comma(spark, text, expected):
@@ -112,3 +118,25 @@ def test_trim_only_spaces(raw_frame):
         "1", "A", "x\t", "7", "UK",
     )
     assert r["Quantity"] == 3 and r["UnitPrice"] == Decimal("1.5000")
+
+
+@pytest.mark.parametrize(
+    "quantity, price, revenue",
+    [
+        ("100000", "0,00004", "4.00"),
+        ("100000", "0,00005", "5.00"),
+        ("100000", "1,23456", "123456.00"),
+        ("1", "0,005", "0.01"),
+        ("3", "0,335", "1.01"),  # 1.005 exactly, HALF_UP
+        ("2", "100000000000000", "200000000000000.00"),
+        ("1", "123456789012345678901", "123456789012345680000.00"),  # beyond the decimal: as a double
+        ("4", "0,12345678901234", "0.49"),  # more decimals than it holds
+        ("2147483647", "9999999999999,99", "21474836469999978525163.53"),
+        ("1", "0,0000001", "0.00"),
+    ],
+)
+def test_prices_are_neither_rounded_nor_dropped(raw_frame, quantity, price, revenue):
+    row = ("1", "A", "ok", quantity, "01/12/2010 08:26", price, "10", "UK")
+    got = cleaned_sales(typed_sales(raw_frame([row]))).collect()
+    assert len(got) == 1 and got[0]["Revenue"] == Decimal(revenue)
+    assert got[0]["UnitPrice"] == float(price.replace(",", "."))

@@ -96,8 +96,9 @@ def test_hot_customer_is_spread_by_invoice(spark, raw_frame):
     assert got["HOT"] == 100
 
 
-def test_job_cli_end_to_end(spark, tmp_path):
+def test_job_cli_end_to_end(spark, tmp_path, capsys):
     from tillsight.job import main
+    from tillsight.operators.quality import null_or_empty_profile
     from tillsight.plans.scratch import new_run_dir
     from tillsight.sinks.files import write_csv
     from tillsight.sources.fixture import raw_invoice_lines
@@ -105,9 +106,24 @@ def test_job_cli_end_to_end(spark, tmp_path):
     landing = new_run_dir(spark, "job-input")
     write_csv(raw_invoice_lines(spark, SF_SMALL), landing, sep=";")
     out = str(tmp_path / "out")
-    assert main([landing, out, "--focus-country", "NATION_7", "--show", "3"]) == 0
     import os
 
+    from tillsight.plans.scratch import checkpoint_root
+
+    scratch = os.path.join(checkpoint_root(spark).removeprefix("file:"), "tillsight")
+    staged = lambda: sorted(f for f in os.listdir(scratch) if f.startswith(("raw-", "typed-", "invoice-rollup-")))
+    before = staged()
+    assert main([landing, out, "--focus-country", "NATION_7", "--show", "3"]) == 0
+    assert staged() == before  # the run's own folders are gone
+    shown = capsys.readouterr().out
+    for title in ("Raw lines", "Raw null or empty values", "Raw NULL values", "Cleaning summary", "Cleaned lines", "Exported tables", "overall_kpis"):
+        assert f"=== {title}" in shown
+    profile = shown.split("=== Raw null or empty values")[1].splitlines()
+    raw = raw_invoice_lines(spark, SF_SMALL)
+    wanted = null_or_empty_profile(raw).first()
+    names = [c.strip() for c in profile[2].strip("|").split("|")]
+    assert dict(zip(names, (int(v) for v in profile[4].strip("|").split("|")))) == wanted.asDict()
+
     assert sorted(os.listdir(out))[:3] == ["bottom_products_by_revenue", "country_performance", "customer_rfm_top"]
     assert len(os.listdir(out)) == 15
 
@@ -183,3 +199,44 @@ def test_staged_tables_prune_and_push_down(spark):
     assert scan.split("ReadSchema: ")[1].startswith(
         "struct<InvoiceNo:string,Revenue:decimal(38,2),Quantity:bigint,YearMonth:string>"
     )
+
+
+def test_month_extremes_read_the_months_once(spark):
+    from tillsight.plans.registry import fixture_tables
+
+    plan = _plan(fixture_tables(spark, SF_SMALL).monthly_revenue_extremes())
+    assert "Union" not in plan and plan.count("TakeOrdered") == 0
+
+
+ORDERS = {
+    "monthly_sales_trend": [("YearMonth", 1)],
+    "weekday_sales": [("DayOfWeekNumber", 1)],
+    "hourly_sales": [("Hour", 1)],
+    "product_performance": None,
+    "top_products_by_quantity": [("ProductQuantitySold", -1)],
+    "top_products_by_revenue": [("ProductRevenue", -1)],
+    "bottom_products_by_revenue": [("ProductRevenue", 1)],
+    "top_customers": [("CustomerRevenue", -1), ("CustomerOrderCount", -1), ("CustomerID", 1)],
+    "customer_rfm_top": [("Monetary", -1), ("Frequency", -1), ("RecencyDays", 1), ("CustomerID", 1)],
+    "customer_segment_summary": [("SegmentRevenue", -1), ("CustomerSegment", 1)],
+    "country_performance": [("CountryRevenue", -1), ("CountryOrderCount", -1), ("Country", 1)],
+    "top_countries_by_revenue": [("CountryRevenue", -1), ("CountryOrderCount", -1), ("Country", 1)],
+    "market_share_uk_vs_non_uk": [("MarketRevenue", -1), ("Market", 1)],
+    "potential_growth_markets": [("RevenuePerCustomer", 1), ("CountryCustomerCount", -1), ("CountryOrderCount", -1), ("Country", 1)],
+    "top_products_chart": [("ProductRevenue", 1)],
+    "top_countries_chart": [("CountryRevenue", 1)],
+    "monthly_revenue_chart": [("YearMonth", 1)],
+}
+
+
+@pytest.mark.parametrize("key", sorted(k for k, v in ORDERS.items() if v))
+def test_rows_come_in_the_tables_order(spark, queries, key):
+    """L1: NULL first where a column ascends, last where it descends."""
+    rows = queries[key](spark, SF_SMALL).collect()
+    for a, b in zip(rows, rows[1:]):
+        for column, way in ORDERS[key]:
+            x, y = a[column], b[column]
+            if x == y:
+                continue
+            assert (x is None) if way == 1 and None in (x, y) else (y is None) if None in (x, y) else (x < y) == (way == 1), (key, a, b)
+            break

@@ -113,16 +113,30 @@ def test_empty_cleaned_table_gives_null_ratios(raw_frame):
     assert r["CancellationRatePercent"] == Decimal("100.00")
 
 
-def test_anchor_from_materialized_customers_matches(raw_frame):
-    from tillsight.operators.customers import customer_performance
-
+def test_rfm_is_lazy_and_reads_the_facts_once(raw_frame, spark, tmp_path):
     rows = [r for cid, (m, f, rec, _) in CASES.items() for r in _customer_rows(cid, m, f, rec)]
-    cleaned = cleaned_sales(typed_sales(raw_frame(rows)))
-    direct = customer_rfm(cleaned)
-    customers = customer_performance(cleaned).persist()
+    raw_frame(rows).write.parquet(f"{tmp_path}/raw")
+    tracker, group = spark.sparkContext.statusTracker(), "building-rfm"
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        via_cache = customer_rfm(cleaned, customers=customers)
-        assert via_cache.exceptAll(direct).count() == 0 and direct.exceptAll(via_cache).count() == 0
-        assert "max(LastPurchaseDate" in via_cache._jdf.queryExecution().optimizedPlan().toString()
+        raw = spark.read.schema(raw_frame(rows).schema).parquet(f"{tmp_path}/raw")
+        before = len(tracker.getJobIdsForGroup(group))
+        cleaned = cleaned_sales(typed_sales(raw))
+        table = SalesTables(cleaned, cleaned, Params()).customer_segment_summary()
+        assert len(tracker.getJobIdsForGroup(group)) == before
     finally:
-        customers.unpersist()
+        spark.sparkContext.setJobGroup("", "")
+    assert table.count() > 0
+    rfm = customer_rfm(cleaned)
+    rfm.collect()
+    final = rfm._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert "ReusedExchange" in final, final
+    assert "(max(struct(LastPurchaseDate" in final.replace("named_struct", "struct") or "max(" in final
+
+
+def test_rfm_anchor_is_the_last_purchase_of_all(raw_frame):
+    rows = [r for cid, (m, f, rec, _) in CASES.items() for r in _customer_rows(cid, m, f, rec)]
+    cleaned = cleaned_sales(typed_sales(raw_frame(rows)))
+    from tillsight.operators.customers import analysis_date
+
+    assert {r["AnalysisDate"] for r in customer_rfm(cleaned).collect()} == {analysis_date(cleaned).first()[0]}

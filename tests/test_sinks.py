@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql.types import (
     DateType,
     DoubleType,
@@ -18,7 +19,7 @@ from pyspark.sql.types import (
 from tillsight.plans.registry import fixture_tables
 from tillsight.plans.scratch import new_run_dir
 from tillsight.sinks.files import read_csv_table, read_json_table, write_csv, write_json
-from tillsight.sources.delimited import read_invoice_lines
+from tillsight.sources.delimited import HeaderError, read_invoice_lines
 
 from conftest import SF_SMALL
 
@@ -39,7 +40,7 @@ def test_bom_header_short_long_and_quoted_rows(spark):
         "3;C;x;1;01/12/2010 08:26;1,5;7;UK;extra\n"
         '4;D;"";;01/12/2010 08:26;1,5;7;Ünïcode\n'
     )
-    df = read_invoice_lines(spark, _file(text), columns=None)
+    df = read_invoice_lines(spark, _file(text))
     assert df.columns == [
         "InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",
         "CustomerID", "Country",
@@ -52,10 +53,54 @@ def test_bom_header_short_long_and_quoted_rows(spark):
     assert rows["4"]["Country"] == "Ünïcode"
 
 
-def test_declared_schema_scan_skips_header(spark):
-    text = "a;b;c;d;e;f;g;h\n1;A;x;2;01/12/2010 08:26;1,5;7;UK\n"
-    df = read_invoice_lines(spark, _file(text))
-    assert df.count() == 1 and df.first()["InvoiceNo"] == "1"
+HEADER = "InvoiceNo;StockCode;Description;Quantity;InvoiceDate;UnitPrice;CustomerID;Country"
+
+
+def test_columns_are_bound_by_name(spark):
+    text = "StockCode;InvoiceNo; Country;Extra;CustomerID;UnitPrice;InvoiceDate;Quantity;Description \nA1;C500;UK;?;7;1,5;01/12/2010 08:26;2;x\n"
+    row = read_invoice_lines(spark, _file(text)).first()
+    assert row.asDict() == dict(zip(HEADER.split(";"), ["C500", "A1", "x", "2", "01/12/2010 08:26", "1,5", "7", "UK"]))
+
+
+@pytest.mark.parametrize("header", ["a;b;c;d;e;f;g;h", HEADER + ";Country ", HEADER.replace("UnitPrice", "Price")])
+def test_header_without_each_column_once_is_an_error(spark, header):
+    with pytest.raises(HeaderError):
+        read_invoice_lines(spark, _file(header + "\n" + ";".join("123456789"[: header.count(";") + 1]) + "\n"))
+
+
+@pytest.mark.parametrize("read", [lambda df: df.collect(), lambda df: df.select("Country").collect()])
+def test_files_with_different_headers_are_an_error(spark, tmp_path, read):
+    other = ";".join(reversed(HEADER.split(";")))
+    (tmp_path / "a.csv").write_text(HEADER + "\n1;A;x;2;01/12/2010 08:26;1,5;7;UK\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text(other + "\nUK;7;1,5;01/12/2010 08:26;2;x;A;2\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        read(read_invoice_lines(spark, str(tmp_path)))
+
+
+def test_large_tables_stay_distributed(spark, monkeypatch):
+    from tillsight.sinks import files
+
+    monkeypatch.setattr(files, "ONE_FILE_ROWS", 1000)
+    countries = spark.range(0, 5000, 1, 8).selectExpr("concat('country ', id) AS Country", "id * 1.5D AS CountryRevenue")
+    for path in (
+        files.write_csv(countries, new_run_dir(spark, "test-large-csv"), small=True),
+        files.write_json(countries, new_run_dir(spark, "test-large-json"), small=True),
+    ):
+        assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 8
+    with pytest.raises(files.TooManyRows):
+        files.write_json_array(countries, new_run_dir(spark, "test-large-array"))
+
+
+def test_small_writers_hold_no_table_in_one_value(spark):
+    """No aggregate or window gathers a table of 100,000 countries: one streaming task."""
+    from tillsight.sinks.files import read_json_array, write_json_array
+
+    countries = spark.range(0, 100_000, 1, 8).selectExpr("concat('country ', id) AS Country", "id * 1.5D AS CountryRevenue")
+    path = write_json_array(countries, new_run_dir(spark, "test-many-countries"))
+    back = read_json_array(spark, path, countries.schema)
+    assert back.count() == 100_000 and back.exceptAll(countries).count() == 0
+    empty = write_json_array(countries.limit(0), new_run_dir(spark, "test-no-countries"))
+    assert read_json_array(spark, empty, countries.schema).count() == 0
 
 
 SCHEMA = StructType(

@@ -65,3 +65,39 @@ def test_ingested_table_exports_directly(spark):
         for r in export_typed_tables(spark, spark.read.parquet(table), new_run_dir(spark, "export-from-stream"), FIXTURE_PARAMS).collect()
     }
     assert len(manifest) == 15 and manifest["overall_kpis"] == 1 and manifest["top_customers"] == 10
+
+
+def test_default_checkpoint_loses_no_file(spark):
+    """Three files in three default runs are three lines, and a run without news adds none."""
+    landing, table = new_run_dir(spark, "landing-default"), new_run_dir(spark, "typed-default")
+    os.makedirs(landing)
+    header = "InvoiceNo;StockCode;Description;Quantity;InvoiceDate;UnitPrice;CustomerID;Country"
+    for n in range(3):
+        with open(os.path.join(landing, f"{n}.csv"), "w", encoding="utf-8") as fh:
+            fh.write(f"{header}\n{n};A;x;2;01/12/2010 08:26;1,5;7;UK\n")
+        start_typed_ingest(spark, landing, table).awaitTermination()
+        start_typed_ingest(spark, landing, table).awaitTermination()
+        assert sorted(r["InvoiceNo"] for r in spark.read.parquet(table).collect()) == [str(i) for i in range(n + 1)]
+
+
+def test_stream_refuses_another_header(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    landing, table = new_run_dir(spark, "landing-headers"), new_run_dir(spark, "typed-headers")
+    os.makedirs(landing)
+    header = "InvoiceNo;StockCode;Description;Quantity;InvoiceDate;UnitPrice;CustomerID;Country"
+    for n, names in enumerate((header, ";".join(reversed(header.split(";"))))):
+        with open(os.path.join(landing, f"{n}.csv"), "w", encoding="utf-8") as fh:
+            fh.write(f"{names}\n1;A;x;2;01/12/2010 08:26;1,5;7;UK\n")
+    with pytest.raises(StreamingQueryException):
+        start_typed_ingest(spark, landing, table).awaitTermination()
+
+
+def test_ingest_into_an_empty_landing_folder(spark):
+    landing, table = new_run_dir(spark, "landing-empty"), new_run_dir(spark, "typed-empty")
+    os.makedirs(landing)
+    start_typed_ingest(spark, landing, table).awaitTermination()
+    _drop(spark, raw_invoice_lines(spark, SF_SMALL).limit(5), landing)
+    start_typed_ingest(spark, landing, table).awaitTermination()
+    assert spark.read.parquet(table).count() == 5

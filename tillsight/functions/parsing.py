@@ -10,16 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType
+from pyspark.sql.types import DoubleType, IntegerType
 
 # Fixed values of the input format (must match the original job).
 INVOICE_TIMESTAMP_PATTERN = "dd/MM/yyyy HH:mm"
 CANCELLED_INVOICE_PREFIX = "C"
 DECIMAL_COMMA = ","
 
-# Unit prices are held exactly; prices with more than 4 decimals are rounded
-# HALF_UP to 4 on parse.
-PRICE_TYPE = DecimalType(18, 4)
+# A double parser also takes "5d", "1f" and hexadecimal text; a price is none of these.
+_NOT_A_PRICE = "[dDfFxX]"
 
 # Legacy string -> int cast: optional blanks/control bytes around an optional
 # sign, then at least one digit or dot: integer digits (may be empty) and an
@@ -39,7 +38,7 @@ def trim_spaces(c: Column) -> Column:
 
 def decimal_comma_to_dot(c: Column) -> Column:
     """F2: replace every comma with a dot ("1.234,50" -> "1.234.50")."""
-    return F.regexp_replace(c, DECIMAL_COMMA, ".")
+    return F.replace(c, F.lit(DECIMAL_COMMA), F.lit("."))
 
 
 def is_cancelled_invoice(invoice_no: Column) -> Column:
@@ -50,16 +49,21 @@ def is_cancelled_invoice(invoice_no: Column) -> Column:
 def parse_quantity(c: Column) -> Column:
     """string -> int with the legacy (truncating) cast semantics.
 
-    One regex pass: a well-formed value is rewritten to its signed integer
-    part; anything else is left as is and fails the strict ``try_cast``
-    (which accepts nothing the pattern rejects).
+    Plain integers take the strict ``try_cast``.  Only what that leaves is
+    matched with a regex: a well-formed value is rewritten to its signed
+    integer part; anything else is left as is and fails the cast again.
     """
-    return F.regexp_replace(c, _LEGACY_INT, _LEGACY_INT_KEEP).try_cast(IntegerType())
+    legacy = F.regexp_replace(c, _LEGACY_INT, _LEGACY_INT_KEEP)
+    return F.coalesce(c.try_cast(IntegerType()), legacy.try_cast(IntegerType()))
 
 
 def parse_price(c: Column) -> Column:
-    """F2 + F5: decimal comma -> dot -> exact decimal; malformed -> NULL."""
-    return decimal_comma_to_dot(c).try_cast(PRICE_TYPE)
+    """F2 + F5: decimal comma -> dot -> double, unrounded and of any size; malformed
+    or not finite -> NULL.  ``line_revenue`` takes it back to the decimal it was
+    written as."""
+    text = decimal_comma_to_dot(c)
+    value = text.try_cast(DoubleType())
+    return F.when((F.abs(value) < float("inf")) & ~text.rlike(_NOT_A_PRICE), value)
 
 
 def parse_invoice_timestamp(c: Column, pattern: str = INVOICE_TIMESTAMP_PATTERN) -> Column:

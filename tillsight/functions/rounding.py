@@ -1,6 +1,6 @@
 """Exact money arithmetic.
 
-Money is a decimal from parse to the last projection.  HALF_UP rounding of a
+Money is a decimal from the line revenue to the last projection.  HALF_UP rounding of a
 double is not exact (``round(1.005, 2)``), and even a decimal quotient is
 rounded once at its result scale before ``round`` rounds it again, so every
 ratio here is computed as an exact integer division in units:
@@ -21,9 +21,22 @@ UNITS = DecimalType(38, 0)
 CENTS = 100
 
 
+# Holds the product with any int quantity in a decimal(38,10).
+EXACT_PRICE = DecimalType(27, 10)
+REVENUE = DecimalType(31, 2)
+
+
 def line_revenue(quantity: Column, unit_price: Column) -> Column:
-    """Revenue of one line, rounded HALF_UP to cents (exact decimal)."""
-    return F.round(quantity * unit_price, 2)
+    """Revenue of one line, rounded HALF_UP to cents.
+
+    A price that a decimal(27,10) holds (its shortest decimal form, so what
+    the text said) is multiplied exactly.  Any other finite price, with more decimals or
+    larger, is multiplied as a double, as the original job did.
+    """
+    exact = unit_price.try_cast(EXACT_PRICE)
+    by_decimal = F.round(quantity * exact, 2).cast(REVENUE)
+    by_double = F.round(quantity * unit_price.cast(DoubleType()), 2).try_cast(REVENUE)
+    return F.when(exact.cast(DoubleType()) == unit_price.cast(DoubleType()), by_decimal).otherwise(by_double)
 
 
 def money_sum(c: Column | str) -> Column:

@@ -4,7 +4,8 @@
     python -m tillsight.job hdfs://namenode:9000/data/online-retail/ /out
 
 Input is any Hadoop-compatible path (file, folder or glob) of ';' invoice
-CSVs.  The text is parsed once into a staged Parquet copy.  Console output
+CSVs.  The text is parsed once into a staged Parquet copy of the typed lines; the
+raw counters are observed on the way.  Console output
 uses ``show`` on one-row / bounded results only; the tables themselves are
 written by executors (``export_typed_tables``).
 """
@@ -14,14 +15,15 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from tillsight.operators import quality as P
 from tillsight.operators.customers import SegmentRules
 from tillsight.operators.markets import MarketRules
-from tillsight.operators.prepare import typed_sales
+from tillsight.operators.prepare import cleaned_sales, typed_sales
 from tillsight.plans.catalog import EXPORTED_TABLES, Params
-from tillsight.plans.export import export_typed_tables, stage
+from tillsight.plans.export import export_typed_tables
+from tillsight.plans.scratch import discard, stage
 from tillsight.sources.delimited import read_invoice_lines
 
 
@@ -45,6 +47,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     return ap.parse_args(argv)
 
 
+def _titled(text: str) -> None:
+    print(f"=== {text}")
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName("tillsight-sales-analytics").getOrCreate()
@@ -53,22 +59,37 @@ def main(argv: list[str] | None = None) -> int:
         segments=SegmentRules(),
         top_n=args.top_n,
     )
-    raw = read_invoice_lines(spark, args.input, columns=None)
+    raw = read_invoice_lines(spark, args.input)
+    _titled("Raw lines")
     raw.printSchema()
-    # Parse the text once and type it once: the raw profile reads a staged
-    # columnar copy of the lines, the cleaning summary and every table read
-    # the staged typed lines (both in the shared checkpoint folder).
-    raw = stage(spark, raw, "raw")
-    P.null_or_empty_profile(raw).show(truncate=False)
-    typed = stage(spark, typed_sales(raw), "typed")
-    P.cleaning_summary(typed).show(truncate=False)
-    root = args.output.rstrip("/")
-    json_format = "array" if args.json_array else "lines"
-    export_typed_tables(spark, typed, root, params, json_format=json_format).show(truncate=False)
+    raw.show(P.SAMPLE_ROWS, truncate=False)
+    # The text is parsed and typed once; the raw profile is counted while the
+    # typed lines are written (to the shared checkpoint folder).
+    blanks, nulls = Observation("raw blanks"), Observation("raw nulls")
+    paths: list[str] = []
+    try:
+        watched = raw.observe(blanks, *P.null_or_empty_counters(raw.columns)).observe(nulls, *P.null_counters(raw.columns))
+        typed = stage(spark, typed_sales(watched), "typed", paths)
+        for title, counts in (("Raw null or empty values", blanks), ("Raw NULL values", nulls)):
+            _titled(title)
+            spark.createDataFrame([counts.get]).select(*raw.columns).show(truncate=False)
+        cleaned = cleaned_sales(typed)
+        _titled("Cleaning summary")
+        P.cleaning_summary(typed).show(truncate=False)
+        _titled("Cleaned lines")
+        cleaned.printSchema()
+        P.null_or_empty_profile(cleaned).show(truncate=False)
+        cleaned.show(P.SAMPLE_ROWS, truncate=False)
+        root = args.output.rstrip("/")
+        json_format = "array" if args.json_array else "lines"
+        _titled("Exported tables")
+        export_typed_tables(spark, typed, root, params, json_format=json_format).show(len(EXPORTED_TABLES), truncate=False)
+    finally:
+        discard(spark, paths)
     if args.show > 0:
         # Console sink over the small written tables: no recomputation.
         for name in EXPORTED_TABLES:
-            print(f"=== {name}")
+            _titled(name)
             spark.read.option("header", "true").csv(f"{root}/{name}/csv").show(args.show, truncate=False)
     return 0
 

@@ -84,31 +84,20 @@ def customer_rfm(
     cleaned: DataFrame,
     rules: SegmentRules = SegmentRules(),
     customers: DataFrame | None = None,
-    customers_materialized: bool | None = None,
 ) -> DataFrame:
     """C4: recency / frequency / monetary per customer plus its segment.
 
-    The analysis date is a global max over the facts, attached as a scalar
-    subquery: Spark runs it once (a read of one column that partially
-    aggregates to a single row per task) and inlines the value, so there is
-    no join of any kind.
-
-    Every cleaned line has a customer, so the global last purchase date is
-    also the max of the per-customer ``LastPurchaseDate``.  When the caller
-    passes a materialized customer aggregate (persisted, or checkpointed:
-    ``customers_materialized=True``), the anchor is read from it: #customers
-    rows instead of a second pass over every line.  An un-materialized
-    aggregate is not used for this, because column pruning would give the
-    anchor its own plan that re-reads and re-shuffles the facts.
+    Every cleaned line has a customer, so the last purchase of all is the
+    latest of the customers' own.  It is attached as a scalar subquery over the
+    customer aggregate.  The subquery takes the maximum of whole customer rows, by
+    date first: so it needs the same columns as the table itself, its shuffle
+    is the same, and Spark computes it once for both.  Nothing runs before an action.
     """
     if customers is None:
         customers = customer_performance(cleaned)
-    if customers_materialized is None:
-        customers_materialized = customers.is_cached
-    if customers_materialized:
-        anchor = customers.agg(F.date_add(F.max("LastPurchaseDate"), 1).alias("AnalysisDate"))
-    else:
-        anchor = analysis_date(cleaned)
+    rest = [c for c in customers.columns if c != "LastPurchaseDate"]
+    latest = F.max(F.struct("LastPurchaseDate", *rest))
+    anchor = customers.agg(F.date_add(latest["LastPurchaseDate"], 1).alias("AnalysisDate"))
     return (
         customers.withColumn("AnalysisDate", anchor.scalar())
         .withColumn("RecencyDays", F.datediff(F.col("AnalysisDate"), F.col("LastPurchaseDate")))

@@ -7,6 +7,8 @@ an already aggregated (bounded) table, never over line-grain rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from tillsight.functions.formatting import (
     millions_label,
     money_text,
     percent_text,
+    thousands_label,
 )
 from tillsight.functions.rounding import count_percent, percent
 
@@ -104,3 +107,18 @@ def formatted_kpis(kpis: DataFrame) -> DataFrame:
 def scaled_revenue_labels(monthly: DataFrame) -> DataFrame:
     """V9: month axis labels in millions ('$1.2M')."""
     return monthly.select("YearMonth", millions_label(F.col("MonthlyRevenue")).alias("RevenueLabel"))
+
+
+def scaled_chart_labels(weekday: DataFrame, products: DataFrame, countries: DataFrame) -> DataFrame:
+    """V9: axis labels of the weekday and country charts in millions, of the product
+    chart in thousands ('$168K')."""
+    feeds = (
+        ("weekday", weekday, "DayOfWeek", millions_label(F.col("WeekdayRevenue"))),
+        ("product", products, "Description", thousands_label(F.col("ProductRevenue"))),
+        ("country", countries, "Country", millions_label(F.col("CountryRevenue"))),
+    )
+    rows = [
+        table.select(F.lit(chart).alias("Chart"), F.col(label).alias("Label"), value.alias("RevenueLabel"))
+        for chart, table, label, value in feeds
+    ]
+    return reduce(DataFrame.unionByName, rows)

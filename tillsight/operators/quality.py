@@ -6,7 +6,7 @@ Each profile is ONE aggregate over ONE scan: per-column counters are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -47,16 +47,23 @@ def schema_listing(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def null_or_empty_counters(columns: list[str]) -> list[Column]:
+    """The aggregates of P3/P4, also for observing a frame on its way elsewhere."""
+    return [F.count_if(is_blank(F.col(c).cast("string"))).alias(c) for c in columns]
+
+
 def null_or_empty_profile(df: DataFrame) -> DataFrame:
     """Per column, rows that are NULL or blank after a string cast."""
-    return df.agg(
-        *[F.count_if(is_blank(F.col(c).cast("string"))).alias(c) for c in df.columns]
-    )
+    return df.agg(*null_or_empty_counters(df.columns))
+
+
+def null_counters(columns: list[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
 
 
 def null_profile_strict(df: DataFrame) -> DataFrame:
     """Per column, rows that are NULL (blank is not NULL)."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return df.agg(*null_counters(df.columns))
 
 
 def sample_rows(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:

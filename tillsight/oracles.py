@@ -9,24 +9,9 @@ cast back to Spark's types.
 
 from __future__ import annotations
 
+from tillsight.plans.catalog import EXPORTED_TABLES
+
 FOCUS_COUNTRY = "NATION_7"
-EXPORTED_TABLES = (
-    "overall_kpis",
-    "monthly_sales_trend",
-    "weekday_sales",
-    "hourly_sales",
-    "monthly_revenue_extremes",
-    "top_products_by_quantity",
-    "top_products_by_revenue",
-    "bottom_products_by_revenue",
-    "top_customers",
-    "customer_rfm_top",
-    "customer_segment_summary",
-    "country_performance",
-    "top_countries_by_revenue",
-    "market_share_uk_vs_non_uk",
-    "potential_growth_markets",
-)
 REST_LABEL = "Rest of World"
 
 BASE = """
@@ -55,6 +40,13 @@ prt AS (
               ELSE ' ' || p_name || ' ' END AS Description,
          CASE WHEN p_partkey % 89 = 0 THEN '0'
               WHEN p_partkey % 89 = 1 THEN 'N/A'
+              WHEN p_partkey % 89 = 2
+                THEN replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') || '5'
+              WHEN p_partkey % 89 = 3
+                THEN replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') || '125'
+              WHEN p_partkey % 89 = 4 THEN '0,0000' || CAST(p_partkey % 900 + 100 AS VARCHAR)
+              WHEN p_partkey % 89 = 5
+                THEN '1.' || replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
               ELSE replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
          END AS UnitPrice
   FROM part
@@ -62,6 +54,8 @@ prt AS (
 raw AS (
   SELECT o.InvoiceNo, p.StockCode, p.Description,
          CASE WHEN (l.l_orderkey + l.l_linenumber) % 223 = 0 THEN 'abc'
+              WHEN (l.l_orderkey + l.l_linenumber) % 223 = 1 THEN '0'
+              WHEN (l.l_orderkey + l.l_linenumber) % 223 = 2 THEN '-2147483648'
               WHEN o.order_cancelled THEN '-' || CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR)
               ELSE CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) END AS Quantity,
          CASE WHEN (l.l_orderkey * 7 + l.l_linenumber) % 199 = 0 THEN '31/02/2011 08:26'
@@ -77,7 +71,7 @@ typed AS (
          trim(Description) AS Description,
          TRY_CAST(trim(Quantity) AS INTEGER) AS Quantity,
          try_strptime(trim(InvoiceDate), '%d/%m/%Y %H:%M') AS InvoiceDate,
-         TRY_CAST(replace(trim(UnitPrice), ',', '.') AS DECIMAL(18,4)) AS UnitPrice,
+         TRY_CAST(replace(trim(UnitPrice), ',', '.') AS DECIMAL(27,10)) AS UnitPrice,
          trim(CustomerID) AS CustomerID,
          trim(Country) AS Country,
          starts_with(trim(InvoiceNo), 'C') AS IsCancelled
@@ -85,7 +79,7 @@ typed AS (
 ),
 cleaned AS (
   SELECT *,
-         round(CAST(Quantity AS DECIMAL(18,0)) * UnitPrice, 2) AS Revenue,
+         round(CAST(Quantity AS DECIMAL(10,0)) * UnitPrice, 2) AS Revenue,
          CAST(InvoiceDate AS DATE) AS InvoiceDateOnly,
          CAST(year(InvoiceDate) AS INTEGER) AS Year,
          CAST(month(InvoiceDate) AS INTEGER) AS Month,
@@ -328,9 +322,49 @@ def _raw_select(extra: str, source: str = "raw") -> str:
     return f"SELECT {', '.join(RAW_COLUMNS)}, {extra} FROM {source}"
 
 
+# Of each exported table: the columns that identify a row's values, and the doubles.
+_PRODUCT = (("StockCode", "Description", "ProductQuantitySold", "ProductOrderCount"), ("ProductRevenue",))
+_COUNTRY = ("Country", "CountryOrderCount", "CountryCustomerCount", "CountryQuantitySold")
+_MONTH = ("YearMonth", "MonthlyOrders", "MonthlyQuantitySold")
+_NULL = "'NULL'"
+EXPORT_COLUMNS = {
+    "overall_kpis": (
+        ("TotalOrders", "TotalQuantitySold", "TotalCustomers", "TotalProducts", "TotalCountries",
+         "CancelledOrders", "TotalRawInvoices"),
+        ("TotalRevenue", "AverageOrderValue", "AverageRevenuePerCustomer", "CancellationRatePercent"),
+    ),
+    "monthly_sales_trend": (_MONTH, ("MonthlyRevenue",)),
+    "weekday_sales": (("DayOfWeekNumber", "DayOfWeek", "WeekdayOrders", "WeekdayQuantitySold"), ("WeekdayRevenue",)),
+    "hourly_sales": (("Hour", "HourlyOrders", "HourlyQuantitySold"), ("HourlyRevenue",)),
+    "monthly_revenue_extremes": (("Metric", *_MONTH), ("MonthlyRevenue",)),
+    "top_products_by_quantity": _PRODUCT,
+    "top_products_by_revenue": _PRODUCT,
+    "bottom_products_by_revenue": _PRODUCT,
+    "top_customers": (
+        ("CustomerID", "CustomerOrderCount", "CustomerQuantityPurchased", "LastPurchaseDate"), ("CustomerRevenue",),
+    ),
+    "customer_rfm_top": (
+        ("CustomerID", "Frequency", "CustomerQuantityPurchased", "LastPurchaseDate", "AnalysisDate", "RecencyDays",
+         "CustomerSegment"),
+        ("Monetary",),
+    ),
+    "customer_segment_summary": (
+        ("CustomerSegment", "CustomerCount"), ("SegmentRevenue", "AverageFrequency", "AverageRecencyDays"),
+    ),
+    "country_performance": (_COUNTRY, ("CountryRevenue",)),
+    "top_countries_by_revenue": (_COUNTRY, ("CountryRevenue",)),
+    "market_share_uk_vs_non_uk": (
+        ("Market", "MarketOrderCount", "MarketCustomerCount", "MarketQuantitySold"),
+        ("MarketRevenue", "RevenueSharePercent"),
+    ),
+    "potential_growth_markets": (_COUNTRY, ("CountryRevenue", "RevenuePerCustomer", "RevenuePerOrder")),
+}
+
+
 def oracle_statements() -> dict[str, str]:
     q: dict[str, str] = {}
     # sources and typed tables
+    q["clean_column_names"] = _with() + f"SELECT {', '.join(RAW_COLUMNS)} FROM raw"
     q["csv_source_scan"] = _with() + f"SELECT {', '.join(RAW_COLUMNS)} FROM raw"
     q["typed_sales"] = _with() + TYPED_SELECT
     q["cleaned_sales"] = _with() + CLEANED_SELECT
@@ -373,7 +407,7 @@ FROM typed"""
     )
     q["numeric_parse_functions"] = _with() + _raw_select(
         "TRY_CAST(trim(Quantity) AS INTEGER) AS ParsedQuantity, "
-        "CAST(TRY_CAST(replace(trim(UnitPrice), ',', '.') AS DECIMAL(18,4)) AS DOUBLE) AS ParsedUnitPrice"
+        "CAST(TRY_CAST(replace(trim(UnitPrice), ',', '.') AS DECIMAL(27,10)) AS DOUBLE) AS ParsedUnitPrice"
     )
     ts = "try_strptime(trim(InvoiceDate), '%d/%m/%Y %H:%M')"
     q["date_functions"] = _with() + _raw_select(
@@ -385,13 +419,14 @@ FROM typed"""
         f"CAST(date_diff('day', DATE '2000-01-01', CAST({ts} AS DATE)) AS INTEGER) AS DaysSince2000"
     )
     qty = "TRY_CAST(trim(Quantity) AS INTEGER)"
-    price = "TRY_CAST(replace(trim(UnitPrice), ',', '.') AS DECIMAL(18,4))"
-    rev = f"round(CAST({qty} AS DECIMAL(18,0)) * {price}, 2)"
+    price = "TRY_CAST(replace(trim(UnitPrice), ',', '.') AS DECIMAL(27,10))"
+    rev = f"round(CAST({qty} AS DECIMAL(10,0)) * {price}, 2)"
     q["math_functions"] = _with() + _raw_select(
         f"CAST({rev} AS DOUBLE) AS LineRevenue, "
         f"CASE WHEN {rev} IS NULL OR {qty} IS NULL THEN NULL ELSE "
         f"(sign({rev}) * sign({qty})) * {half_up(f'abs({_cents(rev)})', f'abs(CAST({qty} AS HUGEINT)) * 100', 2)} END "
-        f"AS RevenuePerUnit"
+        f"AS RevenuePerUnit, "
+        f"sign({rev}) * {half_up(f'abs({_cents(rev)})', '300', 2)} AS ThirdOfRevenue"
     )
     q["null_predicates"] = _with() + _raw_select(
         "(Description IS NULL OR trim(Description) = '') AS DescriptionBlank, "
@@ -524,6 +559,19 @@ FROM typed"""
         + ") AS DECIMAL(38,1)) AS VARCHAR) || 'M' AS RevenueLabel FROM monthly"
     )
 
+    def label(money: str, unit: int, scale: int, suffix: str) -> str:
+        rounded = half_up(_cents(money), str(unit * 100), scale)
+        return f"'$' || CAST(CAST(({rounded}) AS DECIMAL(38,{scale})) AS VARCHAR) || '{suffix}'"
+
+    q["scaled_chart_labels"] = " UNION ALL ".join(
+        f"SELECT '{chart}' AS Chart, {name} AS Label, {text} AS RevenueLabel FROM ({q[table]})"
+        for chart, table, name, text in (
+            ("weekday", "weekday_sales", "DayOfWeek", label("WeekdayRevenue", 1_000_000, 1, "M")),
+            ("product", "top_products_by_revenue", "Description", label("ProductRevenue", 1_000, 0, "K")),
+            ("country", "top_countries_by_revenue", "Country", label("CountryRevenue", 1_000_000, 1, "M")),
+        )
+    )
+
     # sinks: read-back equals the written table; the manifest counts all fifteen
     q["export_csv_roundtrip"] = q["country_performance"]
     q["export_json_roundtrip"] = q["top_customers"]
@@ -531,4 +579,12 @@ FROM typed"""
         f"SELECT '{name}' AS TableName, CAST(count(*) AS BIGINT) AS RowCount FROM ({q[name]})"
         for name in EXPORTED_TABLES
     )
+    q["export_all_values"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS TableName, f.Format AS Format, "
+        f"concat_ws('|', {', '.join(f'coalesce(CAST({k} AS VARCHAR), {_NULL})' for k in keys)}) AS RowKey, "
+        f"'{number}' AS ColumnName, {number} AS NumberValue "
+        f"FROM ({q[name]}) CROSS JOIN (VALUES ('csv'), ('json')) AS f(Format)"
+        for name, (keys, numbers) in EXPORT_COLUMNS.items()
+        for number in numbers
+    )
     return q

@@ -18,7 +18,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tillsight.functions.rounding import decimals_to_double
-from tillsight.plans.scratch import checkpointed
 from tillsight.operators import customers as C
 from tillsight.operators import kpis as K
 from tillsight.operators import markets as N
@@ -69,8 +68,7 @@ class SalesTables:
 
     Each accessor returns a lazy DataFrame; the shared aggregates are built
     once per instance.  Call ``persist_shared`` before asking for tables when
-    many of them will be computed (the export does); otherwise the RFM tables
-    checkpoint the customer aggregate so the facts are still read once.
+    many of them will be computed (the export does).
     """
 
     def __init__(
@@ -144,23 +142,10 @@ class SalesTables:
     def analysis_date(self) -> DataFrame:
         return C.analysis_date(self.facts)
 
-    def materialized_customers(self) -> DataFrame:
-        """The customer aggregate, computed once: the persisted shared frame if
-        a plan persisted it, else a reliable checkpoint in the shared
-        checkpoint folder (lineage cut, survives executor loss)."""
-        customers = self.customer_performance()
-        if customers.is_cached:
-            return customers
-        return self._once("customer_checkpoint", lambda: checkpointed(customers))
-
     def customer_rfm(self) -> DataFrame:
-        """RFM from the materialized customer aggregate: the facts are read
-        once, and the analysis date comes from #customers rows."""
         return self._once(
             "customer_rfm",
-            lambda: C.customer_rfm(
-                self.facts, self.params.segments, self.materialized_customers(), True
-            ),
+            lambda: C.customer_rfm(self.facts, self.params.segments, self.customer_performance()),
         )
 
     def customer_rfm_top(self) -> DataFrame:
@@ -213,6 +198,11 @@ class SalesTables:
     def scaled_revenue_labels(self) -> DataFrame:
         return V.scaled_revenue_labels(self.monthly_sales_trend())
 
+    def scaled_chart_labels(self) -> DataFrame:
+        return V.scaled_chart_labels(
+            self.weekday_sales(), self.top_products_by_revenue(), self.top_countries_by_revenue()
+        )
+
     def table(self, name: str) -> DataFrame:
         """A named table, published with money as double."""
         return decimals_to_double(getattr(self, name)())

@@ -14,7 +14,8 @@ then collected every table to the driver to write files.  This plan:
    (result tables are bounded by dimension sizes or k, so each is one file).
    The tables are independent jobs, so a few are submitted concurrently from
    driver threads and share the executors instead of running one by one;
-4. returns a manifest (TableName, RowCount) read back from the CSV files.
+4. deletes the folders it staged, and returns a manifest (TableName, RowCount)
+   read back from the CSV files.
 """
 
 from __future__ import annotations
@@ -26,11 +27,12 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tillsight.operators.prepare import cleaned_sales, typed_sales
 from tillsight.plans.catalog import EXPORTED_TABLES, Params, SalesTables
 from tillsight.plans.rollup import invoice_rollup
-from tillsight.plans.scratch import new_run_dir
+from tillsight.plans.scratch import discard, new_run_dir, stage
 from tillsight.sinks.files import (
     read_csv_table,
     read_json_table,
@@ -42,25 +44,21 @@ from tillsight.sources.delimited import read_invoice_lines
 from tillsight.sources.fixture import raw_invoice_lines
 
 
-def stage(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint root and read it back."""
-    path = new_run_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def staged_tables(spark: SparkSession, raw: DataFrame, params: Params, rollup: bool = True) -> SalesTables:
-    """Stage the typed lines (one parse of ``raw``), then the tables over them."""
-    return tables_over_typed(spark, stage(spark, typed_sales(raw), "typed"), params, rollup)
+def staged_tables(
+    spark: SparkSession, raw: DataFrame, params: Params, rollup: bool = True, paths: list[str] | None = None
+) -> SalesTables:
+    """Stage the typed lines (one parse of ``raw``), then the tables over them;
+    ``paths`` gets the staged folders."""
+    return tables_over_typed(spark, stage(spark, typed_sales(raw), "typed", paths), params, rollup, paths)
 
 
 def tables_over_typed(
-    spark: SparkSession, typed: DataFrame, params: Params, rollup: bool = True
+    spark: SparkSession, typed: DataFrame, params: Params, rollup: bool = True, paths: list[str] | None = None
 ) -> SalesTables:
     """Tables over an already materialized typed table (staged, or written by
     the streaming ingest), with the invoice rollup staged once."""
     cleaned = cleaned_sales(typed)
-    facts = stage(spark, invoice_rollup(cleaned), "invoice-rollup") if rollup else None
+    facts = stage(spark, invoice_rollup(cleaned), "invoice-rollup", paths) if rollup else None
     return SalesTables(typed, cleaned, params, facts)
 
 
@@ -71,7 +69,7 @@ JSON_FORMATS = ("lines", "array")
 
 
 def _export_one(name: str, df: DataFrame, output_root: str, json_format: str = "lines"):
-    """One table: computed once (kept for its second format), written twice."""
+    """One table: computed once (kept for its count and second format), written twice."""
     result = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         csv_path = write_csv(result, f"{output_root}/{name}/csv", small=True)
@@ -98,8 +96,12 @@ def export_all_tables(
     ``json_format="array"`` writes each table as one JSON array of objects
     (the original's file shape) instead of JSON Lines.
     """
-    tables = staged_tables(spark, raw, params or Params(), rollup)
-    return _export(spark, tables, output_root, threads, json_format)
+    paths: list[str] = []
+    try:
+        tables = staged_tables(spark, raw, params or Params(), rollup, paths)
+        return _export(spark, tables, output_root, threads, json_format)
+    finally:
+        discard(spark, paths)
 
 
 def export_typed_tables(
@@ -112,8 +114,12 @@ def export_typed_tables(
     json_format: str = "lines",
 ) -> DataFrame:
     """S8 over a materialized typed table, e.g. the streaming ingest's output."""
-    tables = tables_over_typed(spark, typed, params or Params(), rollup)
-    return _export(spark, tables, output_root, threads, json_format)
+    paths: list[str] = []
+    try:
+        tables = tables_over_typed(spark, typed, params or Params(), rollup, paths)
+        return _export(spark, tables, output_root, threads, json_format)
+    finally:
+        discard(spark, paths)
 
 
 def _export(
@@ -147,14 +153,16 @@ def _export(
 def missing_tables(spark: SparkSession, output_root: str, names=EXPORTED_TABLES) -> list[str]:
     """The exported tables absent under ``output_root`` (the viewer's check).
 
-    Only file metadata is touched (one listing per table name); nothing is
-    read into the driver.
+    A table is absent if its CSV folder is, or has no data file.  Folders are listed
+    (and a header read) per name; any other fault is an error of its own.
     """
     missing = []
     for name in names:
         try:
             spark.read.option("header", "true").csv(f"{output_root}/{name}/csv").schema
-        except AnalysisException:
+        except AnalysisException as fault:
+            if fault.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             missing.append(name)
     return missing
 
@@ -170,7 +178,18 @@ def csv_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw lines written as a ';' invoice CSV, then scanned back."""
     path = new_run_dir(spark, "invoice-csv")
     write_csv(raw_invoice_lines(spark, sf_dir), path, sep=";")
-    return read_invoice_lines(spark, path, columns=None)
+    return read_invoice_lines(spark, path)
+
+
+def clean_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines written with columns in another order and names with a
+    byte-order mark and padding, then scanned by name."""
+    path = new_run_dir(spark, "padded-invoice-csv")
+    raw = raw_invoice_lines(spark, sf_dir)
+    names = list(reversed(raw.columns))
+    padded = [f"\ufeff{names[0]} ", *(f" {n}  " for n in names[1:])]
+    write_csv(raw.select(*(F.col(n).alias(p) for n, p in zip(names, padded, strict=True))), path, sep=";")
+    return read_invoice_lines(spark, path)
 
 
 def _roundtrip(spark: SparkSession, sf_dir: str, table: str, fmt: str) -> DataFrame:
@@ -201,6 +220,34 @@ def export_all_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export_all_tables(spark, raw_invoice_lines(spark, sf_dir), root, _fixture_params())
 
 
+def export_all_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 over the test tables, by value: each double of each row of the fifteen
+    written tables, read back from CSV and from JSON, under the row's other
+    values as its key."""
+    root = new_run_dir(spark, "export-values")
+    tables = fixture_export_schemas(spark, sf_dir)
+    export_all_tables(spark, raw_invoice_lines(spark, sf_dir), root, _fixture_params())
+    parts = []
+    for name, schema in tables.items():
+        for kind, read in (("csv", read_csv_table), ("json", read_json_table)):
+            rows = read(spark, f"{root}/{name}/{kind}", schema)
+            numbers = [f.name for f in schema if f.dataType == DoubleType()]
+            key = F.concat_ws("|", *(F.coalesce(F.col(f.name).cast("string"), F.lit("NULL")) for f in schema if f.name not in numbers))
+            cells = F.array(*(F.struct(F.lit(n).alias("ColumnName"), F.col(n).alias("NumberValue")) for n in numbers))
+            parts.append(
+                rows.select(F.lit(name).alias("TableName"), F.lit(kind).alias("Format"), key.alias("RowKey"), F.explode(cells).alias("cell"))
+                .select("TableName", "Format", "RowKey", "cell.*")
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def fixture_export_schemas(spark: SparkSession, sf_dir: str) -> dict:
+    from tillsight.plans.registry import fixture_tables
+
+    tables = fixture_tables(spark, sf_dir)
+    return {name: tables.table(name).schema for name in EXPORTED_TABLES}
+
+
 __all__ = [
     "EXPORTED_TABLES",
     "export_all_tables",

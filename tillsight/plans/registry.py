@@ -109,15 +109,19 @@ def date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def math_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line revenue and an exact HALF_UP per-unit ratio (x / 0 is NULL)."""
+    """Line revenue, and exact HALF_UP ratios (x / 0 is NULL)."""
     qty = parse_quantity(trim_spaces(F.col("Quantity")))
     price = parse_price(trim_spaces(F.col("UnitPrice")))
     revenue = line_revenue(qty, price)
     signed_cents = F.when(qty < 0, -revenue).otherwise(revenue) * 100
-    per_unit = half_up_div(signed_cents, F.abs(qty) * 100, 2)
+    # abs() of the smallest int does not fit an int.
+    per_unit = half_up_div(signed_cents, F.abs(qty.cast("bigint")) * 100, 2)
     return decimals_to_double(
         _raw(spark, sf_dir).select(
-            *RAW_COLUMNS, revenue.alias("LineRevenue"), per_unit.alias("RevenuePerUnit")
+            *RAW_COLUMNS,
+            revenue.alias("LineRevenue"),
+            per_unit.alias("RevenuePerUnit"),
+            half_up_div(revenue * 100, F.lit(300), 2).alias("ThirdOfRevenue"),
         )
     )
 
@@ -181,15 +185,18 @@ TABLE_KEYS = (
     "hourly_orders_chart",
     "formatted_kpis",
     "scaled_revenue_labels",
+    "scaled_chart_labels",
 )
 
 
 def registered_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "csv_source_scan": X.csv_source_scan,
+        "clean_column_names": X.clean_column_names,
         "export_csv_roundtrip": X.export_csv_roundtrip,
         "export_json_roundtrip": X.export_json_roundtrip,
         "export_all_tables": X.export_all_tables_query,
+        "export_all_values": X.export_all_values,
         "typed_sales": lambda s, d: decimals_to_double(_typed(s, d)),
         "cleaned_sales": lambda s, d: decimals_to_double(_cleaned(s, d)),
         "cancelled_lines": lambda s, d: decimals_to_double(cancelled_lines(_typed(s, d))),

@@ -2,14 +2,13 @@
 
 The original collected every table to the driver and wrote files with the
 Python csv/json modules.  Here executors write through ``DataFrameWriter``.
-Only tables known to be small (bounded result tables) are coalesced to one
-file, which also keeps their sort order; fact-grain frames keep their
-partitioning.
+Only tables that are small when counted are coalesced to one file, which also
+keeps their sort order; all others keep their partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -44,8 +43,17 @@ JSON_OPTIONS = {
 }
 
 
+# A result table of up to so many rows is written by one task as one file.
+ONE_FILE_ROWS = 100_000
+
+
+class TooManyRows(ValueError):
+    """A table that has no place in one file."""
+
+
 def _shaped(df: DataFrame, small: bool) -> DataFrame:
-    return df.coalesce(1) if small else df
+    """``small`` asks for one file; a table over ``ONE_FILE_ROWS`` keeps its partitions."""
+    return df.coalesce(1) if small and df.count() <= ONE_FILE_ROWS else df
 
 
 def write_csv(df: DataFrame, path: str, small: bool = False, **options: str) -> str:
@@ -61,17 +69,22 @@ def write_json(df: DataFrame, path: str, small: bool = False, **options: str) ->
 
 
 def write_json_array(df: DataFrame, path: str, **options: str) -> str:
-    """S6, array form: ONE JSON array of row objects, in the frame's order.
+    """S6, array form: one file with one JSON array of row objects, in the frame's order.
 
-    For bounded result tables only (at most #countries rows or k): the rows
-    are gathered into a single array value by one aggregate.  Order is made
-    explicit with a position rather than relying on collection order.
+    One array is one file, so a table over ``ONE_FILE_ROWS`` is refused; JSON Lines has no
+    such limit.  Rows are written one by one, the brackets and commas around
+    them by their position in the single partition.
     """
-    position = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
-    numbered = df.coalesce(1).select(position.alias("_pos"), F.struct(*df.columns).alias("_row"))
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_row"))), lambda e: e["_row"])
+    rows = df.count()
+    if rows > ONE_FILE_ROWS:
+        raise TooManyRows(f"{rows} rows for one JSON array; write JSON Lines instead")
     settings = {**JSON_OPTIONS, "ignoreNullFields": "false", **options}
-    text = numbered.agg(F.to_json(rows, settings).alias("value"))
+    if not rows:
+        text = df.sparkSession.sql("SELECT '[]' AS value")
+    else:
+        numbered = df.coalesce(1).select(F.monotonically_increasing_id().alias("_at"), F.to_json(F.struct(*df.columns), settings).alias("_row"))
+        before = F.when(F.col("_at") == 0, "[").otherwise(",")
+        text = numbered.select(F.concat(before, "_row", F.when(F.col("_at") == rows - 1, "]").otherwise("")).alias("value"))
     text.write.mode("overwrite").text(path)
     return path
 

@@ -1,52 +1,62 @@
 """Delimited invoice-file source.
 
 Any Hadoop-compatible path works (local, ``hdfs://``, object stores): path
-resolution is Spark's.  The schema is declared, never inferred: eight string
-columns, so a scan needs no extra pass over the data and the reader can be
-split across executors.
+resolution is Spark's.  All columns are strings, never inferred.  Columns are
+bound by name: the header of the first file gives the names, a header that
+another file does not share is an error, and the declared columns are selected
+whatever their order, padding or byte-order mark.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillsight.sources.fixture import RAW_COLUMNS
 
-BYTE_ORDER_MARK = "\ufeff"
-
-# Fixed reader settings of the original job.
+# Fixed reader settings of the original job; headers are checked file by file.
 READER_OPTIONS = {
     "header": "true",
     "sep": ";",
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
+    "enforceSchema": "false",
 }
+# A file's first name may carry the mark; blanks may surround any name.
+_AROUND_NAMES = "﻿ \t"
 
 
-def clean_column_names(df: DataFrame) -> DataFrame:
-    """Drop a byte-order mark and surrounding blanks from every name."""
-    return df.toDF(*[name.replace(BYTE_ORDER_MARK, "").strip() for name in df.columns])
+class HeaderError(ValueError):
+    """A header that lacks a declared column or names one twice."""
 
 
 def raw_schema(columns: tuple[str, ...] = RAW_COLUMNS) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+def bind_columns(lines: DataFrame, columns: tuple[str, ...] = RAW_COLUMNS) -> DataFrame:
+    """The declared ``columns`` of ``lines``, found by their bare names."""
+    places: dict[str, list[str]] = {}
+    for written in lines.columns:
+        places.setdefault(written.strip(_AROUND_NAMES), []).append(written)
+    faulty = [c for c in columns if len(places.get(c, ())) != 1]
+    if faulty:
+        raise HeaderError(f"header {lines.columns} does not name once each: {faulty}")
+    return lines.select(*(F.col(f"`{places[c][0].replace('`', '``')}`").alias(c) for c in columns))
+
+
 def read_invoice_lines(
     spark: SparkSession,
     path: str,
-    columns: tuple[str, ...] | None = RAW_COLUMNS,
+    columns: tuple[str, ...] = RAW_COLUMNS,
     **options: str,
 ) -> DataFrame:
     """Header CSV, ';', UTF-8, PERMISSIVE (short rows padded with NULL).
 
-    With ``columns`` given, the header line is skipped and fields are bound
-    by position to the declared all-string schema (no schema job, and column
-    pruning reaches the scan).  With ``columns=None`` the names come from the
-    header, which costs Spark one small read, and are then cleaned (S2).
+    One small read takes the names from the header; the scan itself checks the
+    header of every file it opens against them.
     """
     reader = spark.read.options(**{**READER_OPTIONS, **options})
-    if columns is not None:
-        return reader.schema(raw_schema(columns)).csv(path)
-    return clean_column_names(reader.csv(path))
+    header = reader.csv(path).schema
+    return bind_columns(reader.schema(raw_schema(tuple(header.names))).csv(path), columns)

@@ -35,10 +35,13 @@ RAW_COLUMNS = (
 CANCELLED_STATUS = "P"
 CANCELLED_ORDER_MODULUS = 5
 MISSING_DESCRIPTION_MODULUS = 97  # 0 -> NULL, 1 -> three spaces
-BAD_QUANTITY_MODULUS = 223
+BAD_QUANTITY_MODULUS = 223  # 0 -> "abc", 1 -> "0", 2 -> the smallest int
+SMALLEST_INT_TEXT = "-2147483648"
 BAD_DATE_MODULUS = 199
 IMPOSSIBLE_DATE_TEXT = "31/02/2011 08:26"
-BAD_PRICE_MODULUS = 89  # 0 -> "0", 1 -> "N/A"
+# 0 -> "0", 1 -> "N/A", 2 -> half a cent more, 3 -> five decimals, 4 -> seven
+# decimals and far below a cent, 5 -> a thousands dot
+BAD_PRICE_MODULUS = 89
 MISSING_CUSTOMER_MODULUS = 11  # 3 -> NULL, 4 -> two spaces
 MISSING_COUNTRY_MODULUS = 149
 MINUTE_OFFSET_BASE = 360
@@ -113,6 +116,10 @@ def _part_side(part: DataFrame) -> DataFrame:
         .alias("Description"),
         F.when(key % BAD_PRICE_MODULUS == 0, F.lit("0"))
         .when(key % BAD_PRICE_MODULUS == 1, F.lit("N/A"))
+        .when(key % BAD_PRICE_MODULUS == 2, F.concat(price_text, F.lit("5")))
+        .when(key % BAD_PRICE_MODULUS == 3, F.concat(price_text, F.lit("125")))
+        .when(key % BAD_PRICE_MODULUS == 4, F.concat(F.lit("0,0000"), _text(key % 900 + 100)))
+        .when(key % BAD_PRICE_MODULUS == 5, F.concat(F.lit("1."), price_text))
         .otherwise(price_text)
         .alias("UnitPrice"),
     )
@@ -150,8 +157,11 @@ def invoice_lines_from_tables(
         parts, lines.l_partkey == parts.part_key
     )
     whole_quantity = _text(F.col("l_quantity").cast("bigint"))
+    quantity_dirt = (F.col("l_orderkey") + F.col("l_linenumber")) % BAD_QUANTITY_MODULUS
     quantity = (
-        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % BAD_QUANTITY_MODULUS == 0, F.lit("abc"))
+        F.when(quantity_dirt == 0, F.lit("abc"))
+        .when(quantity_dirt == 1, F.lit("0"))
+        .when(quantity_dirt == 2, F.lit(SMALLEST_INT_TEXT))
         .when(F.col("order_cancelled"), F.concat(F.lit("-"), whole_quantity))
         .otherwise(whole_quantity)
     )

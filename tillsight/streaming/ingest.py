@@ -6,27 +6,38 @@ typing run as a Structured Streaming file source, and each micro-batch is
 appended to a Parquet table of typed lines.  Every batch table (KPIs, trends,
 RFM, markets) then reads that table through ``cleaned_sales`` unchanged, and
 no file is ever parsed twice.  Progress (which files were consumed) lives in
-the query's checkpoint under the shared checkpoint folder, so a restarted
-query resumes without duplicates.
+one checkpoint per table, by default inside the table's own folder, so every
+run and every restart goes on where the last one ended.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillsight.operators.prepare import typed_sales
-from tillsight.plans.scratch import new_run_dir
-from tillsight.sources.delimited import READER_OPTIONS, raw_schema
+from tillsight.sources.delimited import READER_OPTIONS, bind_columns, raw_schema
+
+# Hidden from readers of the table by its underscore.
+CHECKPOINT_FOLDER = "_ingest_checkpoint"
 
 
 def invoice_line_stream(spark: SparkSession, landing_dir: str, **options: str) -> DataFrame:
-    """Streaming S1: every new ';' invoice CSV in ``landing_dir`` (declared schema)."""
-    return (
-        spark.readStream.schema(raw_schema())
-        .options(**{**READER_OPTIONS, **options})
-        .csv(landing_dir)
-    )
+    """Streaming S1: every new ';' invoice CSV in ``landing_dir``, columns bound by name.
+
+    The header of the first file present gives the names (an empty folder: the
+    declared ones in order); a file with another header stops the query.
+    """
+    settings = {**READER_OPTIONS, **options}
+    try:
+        names = tuple(spark.read.options(**settings).csv(landing_dir).schema.names)
+    except AnalysisException as empty:
+        if empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        names = ()
+    schema = raw_schema(names) if names else raw_schema()
+    return bind_columns(spark.readStream.schema(schema).options(**settings).csv(landing_dir))
 
 
 def start_typed_ingest(
@@ -41,15 +52,14 @@ def start_typed_ingest(
 
     ``available_now`` processes everything present and stops (a scheduled
     incremental job); otherwise the query keeps polling the landing folder.
+    Without ``checkpoint_dir`` the table's own hidden folder is used, the same
+    at each run.
     """
     options = {}
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
     typed = typed_sales(invoice_line_stream(spark, landing_dir, **options))
-    writer = (
-        typed.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint_dir or new_run_dir(spark, "ingest-checkpoint"))
-    )
+    checkpoint = checkpoint_dir or f"{table_dir.rstrip('/')}/{CHECKPOINT_FOLDER}"
+    writer = typed.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(table_dir)
