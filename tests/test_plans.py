@@ -60,12 +60,6 @@ def test_pruning_reaches_scan(spark, queries):
     assert "PushedFilters: [IsNotNull(l_orderkey), IsNotNull(l_partkey)]" in lineitem
 
 
-def test_extremes_reuse_monthly_exchange(spark, queries):
-    df = queries["monthly_revenue_extremes"](spark, SF_SMALL)
-    df.collect()
-    assert "ReusedExchange" in _plan(df)
-
-
 def test_fact_join_is_shuffled_not_broadcast(spark, queries):
     plan = queries["cleaned_sales"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in plan
