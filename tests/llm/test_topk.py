@@ -56,14 +56,24 @@ def test_bounds_prune_leaves():
     upper = tree.upper(queries_, norms)
     for node, (a, b) in enumerate(tree.bounds):
         assert (upper[:, node] >= (queries_ @ tree.points[a:b].T).max(axis=1)).all()
-    seen = []
-    add = topk._Best.add
-    topk._Best.add = lambda self, which, scores, ids, rows: (seen.append(scores.size), add(self, which, scores, ids, rows))[1]
-    try:
-        topk.search(tree, np.arange(0, len(points), 100), queries_, np.full(len(queries_), -np.inf), 5, False)
-    finally:
-        topk._Best.add = add
-    assert sum(seen) < 0.6 * len(queries_) * len(points)
+    rows = np.arange(0, len(points), 100)
+    near = topk.search(tree, rows, queries_, np.full(len(rows), -np.inf), 5, True)
+    kth = np.array([near[1][near[0] == q].min() for q in range(len(rows))])
+    visited = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, item):
+            out = super().__getitem__(item)
+            if isinstance(item, slice):
+                visited.append(len(out))
+            return out
+
+    tree.points = tree.points.view(Watched)
+    found = topk.search(tree, rows, queries_, kth, 5, False)
+    assert sum(visited) < 0.6 * len(points)
+    scores = queries_ @ np.asarray(points).T
+    scores[np.arange(len(rows)), rows] = -np.inf
+    assert [sorted(found[1][found[0] == q])[-5:] for q in range(len(rows))] == [sorted(s)[-5:] for s in scores.tolist()]
 
 
 def test_query_matches_sql(spark):

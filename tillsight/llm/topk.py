@@ -14,6 +14,7 @@ final k-th score, and the second pass starts from it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from tillsight.llm.common import ROW_ID, staged, with_package
 
 SCALE = 64
-LEAF = 64
+LEAF = 128
 SHARD_ROWS = 4096
 QUERY_BLOCK = 256
 
@@ -96,73 +97,68 @@ class BallTree:
         return bound + 1e-9 * (1 + np.abs(bound) + norms[:, None] * self.radii)
 
 
-def _better(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
-    """Per query, the columns of the k best: highest score, then smallest id, then row."""
-    n = scores.shape[1]
-    if n > 4 * k:  # ties with the k-th score must all stay in
-        kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-        width = int((scores >= kth[:, None]).sum(axis=1).max())
-        if width < n:
-            some = np.argpartition(-scores, width - 1, axis=1)[:, :width]
-            sub = lambda x: np.take_along_axis(x, some, 1)
-            return np.take_along_axis(some, _better(sub(scores), sub(ids), sub(rows), k), 1)
-    return np.lexsort((rows, ids, -scores), axis=1)[:, :k]
-
-
 class _Best:
-    """The k best candidates of a block of queries so far."""
-
-    def __init__(self, n: int, k: int) -> None:
-        self.k = k
-        self.scores = np.full((n, k), -np.inf)
-        self.ids = np.full((n, k), np.iinfo(np.int64).max)
-        self.rows = np.full((n, k), -1, np.int64)
-
-    def add(self, which: np.ndarray, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        s = np.concatenate((self.scores[which], scores), axis=1)
-        i = np.concatenate((self.ids[which], np.broadcast_to(ids, scores.shape)), axis=1)
-        r = np.concatenate((self.rows[which], np.broadcast_to(rows, scores.shape)), axis=1)
-        at = _better(s, i, r, self.k)
-        self.scores[which], self.ids[which], self.rows[which] = (np.take_along_axis(x, at, 1) for x in (s, i, r))
-
-    def kth(self) -> np.ndarray:
-        return self.scores[:, -1]
-
-
-def search(tree: BallTree, rows: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int, first_leaf_only: bool) -> _Best:
-    """Branch and bound for a block of queries.  ``floor`` is a known lower bound of each
-    query's final k-th score; candidates below it may be left out."""
-    best, norms = _Best(len(queries), k), np.sqrt((queries**2).sum(axis=1))
+    """The best candidates of a block of queries so far, as flat columns, and each query's bar: a
+    score that a candidate must reach to matter still."""
+
+    def __init__(self, floor: np.ndarray, k: int) -> None:
+        self.k, self.bar, self.waiting = k, floor.copy(), 0
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        self.parts.append((query, score, ids, rows))
+        self.waiting += len(query)
+        if self.waiting > 4 * self.k * len(self.bar):
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, ...]:
+        """Keep the k best of each query (highest score, then smallest id, then row) and raise its bar."""
+        empty = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        query, score, ids, rows = (np.concatenate([p[i] for p in (empty, *self.parts)]) for i in range(4))
+        order = np.lexsort((rows, ids, -score, query))
+        query = query[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = order[rank < self.k]
+        full = np.flatnonzero(rank == self.k - 1)
+        self.bar[query[full]] = np.maximum(self.bar[query[full]], score[order[full]])
+        result = (query[rank < self.k], score[kept], ids[kept], rows[kept])
+        self.parts, self.waiting = [result], 0
+        return result
+
+
+def search(tree: BallTree, rows: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int, first_leaf_only: bool) -> tuple[np.ndarray, ...]:
+    """(query, score, id, row) of the k best candidates of each query of a block, by best-first
+    branch and bound.  ``floor`` is a known lower bound of each query's final k-th score;
+    candidates below it are left out."""
+    best, norms = _Best(floor, k), np.sqrt((queries**2).sum(axis=1))
     upper = tree.upper(queries, norms)
 
     def visit(node: int, which: np.ndarray) -> None:
         a, b = tree.bounds[node]
-        scores = np.rint(queries[which] @ tree.points[a:b].T)
-        scores[rows[which][:, None] == tree.rows[a:b]] = -np.inf  # the query's own row
-        best.add(which, scores, tree.ids[a:b], tree.rows[a:b])
+        scores = queries[which] @ tree.points[a:b].T
+        q, c = np.nonzero(scores >= best.bar[which][:, None])
+        other = rows[which[q]] != tree.rows[a + c]  # not the query's own row
+        q, c = q[other], c[other]
+        best.add(which[q], scores[q, c], tree.ids[a + c], tree.rows[a + c])
 
-    def walk(node: int, which: np.ndarray) -> None:
-        which = which[upper[which, node] >= np.maximum(best.kth(), floor)[which]]
-        if not len(which):
-            return
-        if tree.children[node] is None:
-            visit(node, which)
-            return
-        left, right = tree.children[node]
-        nearer = upper[which, left] >= upper[which, right]
-        for child, other, own in ((left, right, which[nearer]), (right, left, which[~nearer])):
-            walk(child, own)
-            walk(other, own)
-
-    everyone = np.arange(len(queries))
     if first_leaf_only:
         leaves = np.array([n for n, c in enumerate(tree.children) if c is None])
         choice = leaves[np.argmax(upper[:, leaves], axis=1)]
         for leaf in np.unique(choice):
-            visit(int(leaf), everyone[choice == leaf])
-    else:
-        walk(0, everyone)
-    return best
+            visit(int(leaf), np.flatnonzero(choice == leaf))
+        return best.settle()
+    nodes = [(-np.inf, 0)]
+    while nodes:
+        _, node = heappop(nodes)
+        which = np.flatnonzero(upper[:, node] >= best.bar)
+        if not len(which):
+            continue
+        if tree.children[node] is None:
+            visit(node, which)
+            continue
+        for child in tree.children[node]:
+            heappush(nodes, (-float(upper[which, child].max()), child))
+    return best.settle()
 
 
 _FOUND = T.StructType([
@@ -209,12 +205,10 @@ def _searcher(k: int, first_leaf_only: bool):
                 queries = _wide(queries, dims)
                 known = dict(row["floor"] or ())
                 floor = np.array([known.get(r, -np.inf) for r in q_rows.tolist()])
-                best = search(tree, q_rows, queries, floor, k, first_leaf_only)
-                keep = (best.rows >= 0) & (best.scores >= floor[:, None]) & (best.scores > -np.inf)
-                q, c = np.nonzero(keep)
+                q, scores, ids, numbers = search(tree, q_rows, queries, floor, k, first_leaf_only)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(q_rows[q]), pa.array(q_ids[q]), pa.array(best.ids[q, c]), pa.array(best.rows[q, c]),
-                    pa.array(np.clip(best.scores[q, c], -9.2e18, 9.2e18).astype(np.int64)),
+                    pa.array(q_rows[q]), pa.array(q_ids[q]), pa.array(ids), pa.array(numbers),
+                    pa.array(np.clip(np.rint(scores), -9.2e18, 9.2e18).astype(np.int64)),
                 ], names=_FOUND.names)
 
     return run
