@@ -38,13 +38,15 @@ def test_forward_sums_all_segmentations(word):
             total += p * plain(end, lang) if p else 0
         return total
 
-    assert np.allclose(scorer.word(word), [np.log(plain(0, 0)), np.log(plain(0, 1))])
+    wanted = [np.log(plain(0, 0)), np.log(plain(0, 1))]
+    assert np.allclose(scorer.words([word])[0], wanted)
+    assert np.allclose(scorer.words(["he", word, "x" * 50, "t", "\U0001f600"])[1], wanted)
 
 
 def test_long_words_neither_underflow_nor_differ():
     scorer = langid.Scorer(["x", "y"], {"a": np.array([1e-3, 1e-4])})
     start = np.log(scorer.floor)
-    assert np.allclose(scorer.word("a" * 5000), [start + 5000 * np.log(1e-3), start + 5000 * np.log(1e-4)])
+    assert np.allclose(scorer.words(["a" * 5000, "a"])[0], [start + 5000 * np.log(1e-3), start + 5000 * np.log(1e-4)])
 
 
 def test_expected_counts_against_enumeration():
@@ -67,20 +69,24 @@ def test_expected_counts_against_enumeration():
 
 
 def test_cache_reset_changes_nothing(monkeypatch):
-    monkeypatch.setattr(langid, "CACHE_NUMBERS", 8)
+    monkeypatch.setattr(langid, "CACHE_NUMBERS", 130)
     table = {c: np.array([0.1, 0.05]) for c in "abcdefgh▁"}
     text = " ".join(a + b for a in "abcdefgh" for b in "abcdefgh") + " zz 123 éé"
-    small = langid.Scorer(["x", "y"], table).text(text)
+    texts = [text, "", "1 2", "ab ab zz", text[:60]]
+    small, counts = langid.Scorer(["x", "y"], table).texts(texts)
+    assert counts.tolist()[1:4] == [0, 0, 3]
     monkeypatch.setattr(langid, "CACHE_NUMBERS", 10_000)
-    assert np.allclose(small, langid.Scorer(["x", "y"], table).text(text))
+    large = langid.Scorer(["x", "y"], table)
+    assert np.allclose(small, large.texts(texts)[0])
+    assert np.allclose(small[3], large.words(["ab", "ab", "zz"]).sum(axis=0))
 
 
 def test_edges(spark):
-    docs = docs_frame(spark, [*edge_rows(), (20, "123 !!", "en", "a"), (21, "hello world of words", "en", "a")])
+    docs = docs_frame(spark, [*edge_rows(), (20, "123 !!", "en", "a"), (22, "x² "[1:], "en", "a"), (21, "hello world of words", "en", "a")])
     model = langid.train(docs)
     out = {r.doc_id: r for r in langid.identify(docs.withColumnRenamed("n_chars", "score"), model).collect()}
-    assert [out[i].lang_pred for i in (1, 2, 3, 20)] == ["und"] * 4 and out[1].score == 0
-    assert out[21].lang_pred in ("en", "de", "fr", "es") and out[9].lang_pred == "de"
+    assert [out[i].lang_pred for i in (1, 2, 3, 20, 22)] == ["und"] * 5 and out[1].score == 0
+    assert out[21].lang_pred in ("en", "de", "fr", "es") and out[9].lang_pred in ("en", "de")
     nothing = langid.train(docs.limit(0))
     assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
     assert langid.identify(docs.limit(0), model).count() == 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -151,3 +152,13 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.repeat(starts - np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
     return np.arange(total, dtype=np.int64) + shift
+
+
+def groups_of(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Consecutive slices of about ``size`` bytes, one text at least."""
+    _, offsets = text_buffers(texts)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+        yield texts.slice(at, to - at)
+        at = to

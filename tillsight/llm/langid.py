@@ -12,8 +12,8 @@ before them.  Any single character that is no piece counts as a piece of small p
 
 from __future__ import annotations
 
-import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.llm.common import staged, unit_hash, with_package
+from tillsight.llm.common import groups_of, staged, unit_hash, with_package
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE_DOCS = 800
@@ -31,6 +31,10 @@ SAMPLE_WORDS = 30_000
 PASSES = 2
 SMOOTHING = 0.05
 LONGEST = 16
+#: Positions after which a word's sums are scaled; they stay in a double's range between.
+RESCALE = 16
+#: Texts are scored in groups of about so many bytes.
+GROUP_BYTES = 1 << 19
 #: Numbers that a task keeps of words it has seen: words times languages.
 CACHE_NUMBERS = 1_200_000
 UNDETERMINED = "und"
@@ -110,13 +114,15 @@ def _learn(pieces: list[str]):
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", pieces_path: str = VOCABULARY, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS):
     """(languages, piece -> vector of probabilities).  Per language at most about
-    ``sample_docs`` documents, chosen by a hash of their text, and of their words the
-    ``sample_words`` most frequent are learnt from.  Rows without a language or a
+    ``sample_docs`` documents, chosen by a hash of their text, are learnt from: of their words
+    all that are frequent and, if there are over ``sample_words``, a share of the rest.  Rows without a language or a
     text are left out; the model's size is languages times vocabulary."""
     with_package(docs.sparkSession)
     usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    per_lang = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    sample = usable.join(per_lang, "lang").filter(unit_hash(F.col("text"), seed=9) < F.lit(float(sample_docs)) / F.col("rows")).select("lang", "text")
+    # One number per language; the model to come has a vocabulary of them for each.
+    share = {r["lang"]: sample_docs / r["rows"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).toLocalIterator()}
+    shares = F.create_map(*(F.lit(x) for pair in sorted(share.items()) for x in pair)) if share else F.create_map().cast("map<string,double>")
+    sample = usable.filter(unit_hash(F.col("text"), seed=9) < F.get(F.array(shares[F.col("lang")]), F.lit(0)))
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def split(texts: pa.Array) -> pa.Array:
@@ -129,7 +135,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", piece
     chance = F.lit(float(sample_words)) / F.col("words")
     chosen = counted.join(best, "lang").filter((F.col("n") > 3) | (unit_hash(F.col("word"), seed=10) < chance)).select("lang", "word", F.when(F.col("n") > 3, F.col("n").cast("double")).otherwise(F.col("n") / F.least(F.lit(1.0), chance)).alias("n"))
     learnt = chosen.groupBy("lang").applyInPandas(_learn(vocabulary(pieces_path)), "lang string, piece string, p double")
-    model: dict[str, dict[str, float]] = {r["lang"]: {} for r in per_lang.select("lang").toLocalIterator()}
+    model: dict[str, dict[str, float]] = {lang: {} for lang in share}
     for row in learnt.toLocalIterator():
         model[row["lang"]][row["piece"]] = row["p"]
     languages = sorted(model)
@@ -141,82 +147,177 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", piece
     return languages, table
 
 
+class PieceTrie:
+    """All pieces as a trie in arrays, to find the pieces in many words at once."""
+
+    def __init__(self, pieces: list[str]) -> None:
+        letters = sorted({c for p in pieces for c in p})
+        self.letters = np.array([*map(ord, letters)], np.int64)
+        number = {c: n for n, c in enumerate(letters)}
+        nodes: dict[str, int] = {"": 0}
+        edges: list[int] = []
+        for piece in pieces:
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in nodes:
+                    nodes[piece[:n]] = len(nodes)
+                    edges.append(nodes[piece[: n - 1]] * len(letters) + number[piece[n - 1]])
+        # Node n > 0 is reached by edge n - 1.  Edges lie in a hash table of free slots.
+        self.edges = np.array(edges, np.int64)
+        self.piece = np.full(len(nodes), -1, np.int64)
+        self.piece[[nodes[p] for p in pieces]] = np.arange(len(pieces))
+        self.bits = max(4, int(4 * len(edges)).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int64)
+        waiting = np.arange(len(edges))
+        slot = self._slot(self.edges)
+        while len(waiting):
+            free = np.flatnonzero(self.slots[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            self.slots[slot[free[first]]] = waiting[free[first]]
+            left = self.slots[slot] != waiting
+            waiting, slot = waiting[left], (slot[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, edges: np.ndarray) -> np.ndarray:
+        return ((edges.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _next(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The node that follows by a letter, or -1."""
+        wanted = nodes * len(self.letters) + letters
+        out, open_, slot = np.full(len(wanted), -1, np.int64), np.arange(len(wanted)), self._slot(wanted)
+        while len(open_):
+            edge = self.slots[slot]
+            found = edge >= 0
+            found[found] = self.edges[edge[found]] == wanted[open_[found]]
+            out[open_[found]] = edge[found] + 1
+            on = (edge >= 0) & ~found
+            open_, slot = open_[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def arcs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, length, piece) of all pieces in the words one after the other, and where the
+        words end.  A character that is no piece is one, numbered after the last."""
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        ends = np.cumsum([*map(len, words)])
+        until = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
+        at = np.minimum(np.searchsorted(self.letters, points), max(0, len(self.letters) - 1))
+        letters = np.where(self.letters[at] == points, at, -1) if len(self.letters) else np.full(len(points), -1)
+        begin, node, length, found = np.arange(len(points)), np.zeros(len(points), np.int64), 0, []
+        while len(begin):
+            inside = begin + length < until[begin]
+            begin, node = begin[inside], node[inside]
+            letter = letters[begin + length]
+            after = np.where(letter >= 0, self._next(node, np.maximum(letter, 0)), -1)
+            length += 1
+            piece = np.where(after >= 0, self.piece[np.maximum(after, 0)], -1)
+            if length == 1:
+                piece = np.where(piece < 0, self.single, piece)
+            hit = piece >= 0
+            found.append((begin[hit], np.full(int(hit.sum()), length), piece[hit]))
+            begin, node = begin[after >= 0], after[after >= 0]
+        return *(np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3)), ends
+
+    @property
+    def single(self) -> int:
+        return int(self.piece.max(initial=-1)) + 1
+
+
 class Scorer:
     """Log-probabilities of words in all languages; seen words are kept, up to a number."""
 
     def __init__(self, languages: list[str], table: dict[str, np.ndarray]) -> None:
         self.languages = languages
-        self.pieces = {k: v.tolist() for k, v in table.items()}
-        self.longest = max(map(len, self.pieces), default=1)
         self.floor = SMOOTHING / max(1, len(table)) / 10
+        self.trie = PieceTrie([*table])
+        self.table = np.array([*table.values(), np.full(len(languages), self.floor)])
         self.known: dict[str, int] = {}
         self.room = max(64, CACHE_NUMBERS // max(1, len(languages)))
         self.rows = np.empty((self.room, len(languages)))
 
-    def word(self, word: str) -> list[float]:
-        """Natural logarithm of the sum over all segmentations, per language, by a forward pass."""
-        word, n = _START + word, len(self.languages)
-        each = range(n)
-        sums: list[list[float]] = [[1.0] * n]
-        shift = 0.0
-        get, longest, floor = self.pieces.get, self.longest, self.floor
-        for end in range(1, len(word) + 1):
-            total = [0.0] * n
-            for begin in range(max(0, end - longest), end):
-                p = get(word[begin:end])
-                if p is not None:
-                    before = sums[begin]
-                    for k in each:
-                        total[k] += before[k] * p[k]
-                elif end - begin == 1:
-                    before = sums[begin]
-                    for k in each:
-                        total[k] += before[k] * floor
-            sums.append(total)
-            top = max(total)
-            if top < 1e-100:  # long words: scale what is still to be read
-                shift += math.log(top)
-                for i in range(max(0, end - longest), end + 1):
-                    sums[i] = [x / top for x in sums[i]]
-        return [math.log(x) + shift if x > 0 else shift - 700.0 for x in sums[-1]]
-
-    def text(self, text: str) -> np.ndarray | None:
-        """Log-likelihood of a text in each language, a word at a time; None without letters."""
-        words = words_of(text)
-        if not words or not self.languages:
-            return None
-        total, known = np.zeros(len(self.languages)), self.known
-        for at in range(0, len(words), self.room // 4):
-            part = words[at : at + self.room // 4]
-            if len(known) + len(part) > self.room:
+    def words(self, words: list[str]) -> np.ndarray:
+        """Natural logarithm of the sum over all segmentations of each word, per language: forward
+        passes side by side, a position at a time, each word's and language's sums kept in
+        range by a scale of its own."""
+        marked = [_START + w for w in words]
+        begin, length, piece, ends = self.trie.arcs(marked)
+        starts = np.concatenate(([0], ends[:-1]))
+        owner = np.searchsorted(ends, begin, "right")
+        position = begin - starts[owner]
+        order = np.argsort(position, kind="stable")
+        edges = np.searchsorted(position[order], np.arange(int(position.max(initial=0)) + 2))
+        # A word of n characters has n + 1 states, one after the other.
+        base = starts + np.arange(len(words))
+        sums = np.zeros((int(ends[-1]) + len(words) if len(ends) else 0, len(self.languages)))
+        sums[base] = 1.0
+        shift = np.zeros((len(words), len(self.languages)))
+        for at in range(len(edges) - 1):
+            own = order[edges[at] : edges[at + 1]]
+            who = owner[own]
+            here = base[who] + at
+            if at % RESCALE == 0 and at:
+                some = np.unique(who)
+                scale = np.maximum(sums[base[some] + at], 1e-300)
+                shift[some] += np.log(scale)
+                for ahead in range(LONGEST + 1):
+                    still = some[at + ahead <= ends[some] - starts[some]]
+                    sums[base[still] + at + ahead] /= scale[: len(some)][np.searchsorted(some, still)]
+            # From one position, a word's arcs end at different ones.
+            sums[here + length[own]] += sums[here] * self.table[piece[own]]
+        return np.log(np.maximum(sums[base + ends - starts], 1e-300)) + shift
+
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood of each text in each language, and how many words it has."""
+        lists = [words_of(t) for t in texts]
+        counts = np.array([*map(len, lists)], np.int64)
+        flat = [w for words in lists for w in words]
+        total, known, part = np.zeros((len(texts), len(self.languages))), self.known, max(1, self.room // 2)
+        owner = np.repeat(np.arange(len(texts)), counts)
+        for at in range(0, len(flat) if self.languages else 0, part):
+            some = flat[at : at + part]
+            new = [w for w in dict.fromkeys(some) if w not in known]
+            if len(known) + len(new) > self.room:
                 known.clear()
-            for w in part:
-                if w not in known:
-                    self.rows[len(known)] = self.word(w)
-                    known[w] = len(known)
-            total += self.rows[np.fromiter(map(known.__getitem__, part), np.int64, len(part))].sum(axis=0)
-        return total
+                new = [*dict.fromkeys(some)]
+            if new:
+                self.rows[len(known) : len(known) + len(new)] = self.words(new)
+                known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            rows = self.rows[np.fromiter(map(known.__getitem__, some), np.int64, len(some))]
+            who = owner[at : at + part]
+            edges = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
+            total[who[edges]] += np.add.reduceat(rows, edges, axis=0)
+        return total, counts
+
+
+_scorers: dict[str, Scorer] = {}
+
+
+def scorer_of(name: str, shared) -> Scorer:
+    """The scorer of a model in this worker, which keeps its words from task to task."""
+    if name not in _scorers:
+        _scorers.clear()
+        _scorers[name] = Scorer(*shared.value)
+    return _scorers[name]
 
 
 def predict_column(spark: SparkSession, model, text: Column) -> Column:
     """Struct of ``lang_pred`` and ``score``, the predicted language's share of the likelihood
     per word over all languages; ``und`` and 0 if there are no letters (or no languages)."""
-    shared = with_package(spark).sparkContext.broadcast(model)
+    shared, name = with_package(spark).sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = Scorer(*shared.value)
+        scorer = scorer_of(name, shared)
         for texts in batches:
             names, shares = [], []
-            for text in texts:
-                logs = scorer.text(text.as_py()) if text.is_valid else None
-                if logs is None:
-                    names.append(UNDETERMINED)
-                    shares.append(0.0)
-                    continue
-                best = int(np.argmax(logs))
-                names.append(scorer.languages[best])
-                shares.append(float(1 / np.exp(np.clip(logs - logs[best], -700, 0)).sum()))
+            for some in groups_of(texts, GROUP_BYTES):
+                strings = [t or "" for t in some.to_pylist()]
+                for text, logs, words in zip(strings, *scorer.texts(strings), strict=True):
+                    # Few words may be signs that only count as letters, such as raised figures.
+                    if not words or not len(logs) or (words < 8 and not any(map(str.isalpha, text))):
+                        names.append(UNDETERMINED)
+                        shares.append(0.0)
+                        continue
+                    best = int(np.argmax(logs))
+                    names.append(scorer.languages[best])
+                    shares.append(float(1 / np.exp(np.clip(logs - logs[best], -700, 0)).sum()))
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(shares, pa.float64())], ["lang_pred", "score"])
 
     return predict(text)
