@@ -92,7 +92,7 @@ def plain_terms(texts, support, threshold):
             n_c[e] += 1
             for t in terms("\n".join(near)):
                 n_ct[e, t] += 1
-                distinct[e, t].add(text)
+                distinct[e, t].add("\n".join(near))
     share = {}
     for (e, t), n in n_ct.items():
         if len(distinct[e, t]) >= support and n_c[e] < len(texts):

@@ -5,7 +5,7 @@ co-occurrence then tells how much each term says about an entity: with document
 frequencies n, a term t near entity c discloses the share PMI(c, t) / IC(c) =
 1 + ln(n_ct / n_t) / ln(N / n_c) of the entity's information.  Terms that disclose
 ``GENERALISE`` of it or more, and stood near the entity in at least ``SUPPORT``
-different texts, are generalised wherever they occur; from ``REMOVE`` on they are removed.
+different surroundings (which copies of a text share), are generalised wherever they occur; from ``REMOVE`` on they are removed.
 
 All statistics are sums over all documents.  The terms in question are passed to the tasks
 as a bit set of fixed size, only to skip what cannot matter; joins decide.
@@ -126,14 +126,14 @@ def _near_terms(text: str, start: int, end: int) -> str:
     return left + "\n" + right
 
 
-_PAIR = T.StructType([T.StructField("text", T.LongType()), T.StructField("entity", T.LongType()), T.StructField("term", T.LongType())])
+_PAIR = T.StructType([T.StructField("place", T.LongType()), T.StructField("entity", T.LongType()), T.StructField("term", T.LongType())])
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, entity in it and distinct term near that entity; a null term
     stands for the entity itself."""
     for batch in batches:
-        entities, documents, sides = [], [], []
+        entities, places, sides = [], [], []
         for text in batch.column(0):
             if not text.is_valid:
                 continue
@@ -144,11 +144,10 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     value = text[a:b].lower() if kind == "email" else "".join(c for c in text[a:b] if c.isdigit() or c == ".")
                     by_entity.setdefault(xxhash.xxh64_intdigest(f"{kind}:{value}") >> 1, []).append(_near_terms(text, a, b))
             if by_entity:
-                key = xxhash.xxh64_intdigest(text) >> 1
                 for entity, near in by_entity.items():
                     entities.append(entity)
-                    documents.append(key)
                     sides.append("\n".join(near))
+                    places.append(xxhash.xxh64_intdigest(sides[-1]) >> 1)
         rows = [(np.arange(len(sides)), np.full(len(sides), -1))]  # a null term for each entity
         for first, owner, hashes, *_ in _terms(pa.array(sides, pa.string())):
             both = np.unique(np.stack((owner + first, hashes)), axis=1)
@@ -157,8 +156,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = np.concatenate([r[1] for r in rows])
         null = np.concatenate([np.full(len(r[0]), i == 0) for i, r in enumerate(rows)])
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.array(documents, np.int64)[of]), pa.array(np.array(entities, np.int64)[of]), pa.array(terms, pa.int64(), mask=null),
-        ], names=["text", "entity", "term"])
+            pa.array(np.array(places, np.int64)[of]), pa.array(np.array(entities, np.int64)[of]), pa.array(terms, pa.int64(), mask=null),
+        ], names=["place", "entity", "term"])
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
@@ -198,10 +197,10 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", support: int = SUP
     that the term discloses, for terms that reach ``threshold``."""
     spark = with_package(docs.sparkSession)
     texts = docs.select(F.col(text_col).alias("text")).filter(F.col(text_col).isNotNull())
-    pairs = staged(texts.mapInArrow(_pairs, _PAIR).groupBy("entity", "term", "text").agg(F.count(F.lit(1)).alias("n")), "entity-terms")
-    joint = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count(F.lit(1)).alias("texts"))
+    pairs = staged(texts.mapInArrow(_pairs, _PAIR).groupBy("entity", "term", "place").agg(F.count(F.lit(1)).alias("n")), "entity-terms")
+    joint = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count(F.lit(1)).alias("places"))
     n_c = joint.filter("term IS NULL").select("entity", F.col("n_ct").alias("n_c"))
-    joint = staged(joint.filter(F.col("term").isNotNull() & (F.col("texts") >= support)).join(n_c, "entity"), "entity-term-counts")
+    joint = staged(joint.filter(F.col("term").isNotNull() & (F.col("places") >= support)).join(n_c, "entity"), "entity-term-counts")
     total = docs.count()
     shared = spark.sparkContext.broadcast(_bit_set(joint.select("term")))
     seen = texts.mapInArrow(_counter(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
