@@ -6,11 +6,12 @@ term's list starts, and all positions) as one row of a stored table, so it is bu
 without a shuffle and can answer any number of benchmarks.  Neighbouring documents are
 kept one empty position apart, so that no phrase crosses them.
 
-The benchmark's windows are its phrases.  Within a segment a window is looked up by its
-rarest term there: the positions of that term, shifted to the window's start, are
-intersected with the shifted lists of the other terms, rarer ones first.  What survives
-all lists is an exact phrase match; what keeps every term within ``slop`` positions of
-the rarest one, in any order, is a proximity match.
+The benchmark's windows are its phrases.  How often its terms occur in the corpus is
+summed over the index first.  A window is then looked up by its rarest term: the
+positions of that term, shifted to the window's start, are intersected with the shifted
+lists of the other terms, rarer ones first.  What survives all lists is an exact phrase
+match; what has every term within ``slop`` positions of the rarest one, in any order, is
+a proximity match.
 
 Words are compared by 64-bit hashes.  The benchmark is passed to the tasks in blocks of
 at most ``BLOCK_WORDS`` words (one benchmark item at least), one broadcast each.
@@ -106,6 +107,7 @@ class PhraseBlock:
             own = [(k, sorted(v)) for k, v in by_words.items() if len(k) == 8 * length]
             words = np.frombuffer(b"".join(k for k, _ in own), np.uint64).reshape(-1, length)
             self.groups.append((np.searchsorted(self.terms, words).astype(np.int32), [v for _, v in own]))
+        self.frequency = np.zeros(len(self.terms), np.int64)
 
 
 def phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[PhraseBlock]:
@@ -152,16 +154,16 @@ class Segment:
         return np.searchsorted(self.doc_starts, position, "right") - 1
 
 
-def _matches(segment: Segment, windows: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _matches(segment: Segment, windows: np.ndarray, rarest: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(window, start) of phrase matches and (window, position of the rarest term) of
-    proximity matches; ``windows`` holds the ranks of each window's terms."""
+    proximity matches; ``windows`` holds the ranks of each window's terms, ``rarest`` their
+    offsets from the rarest on."""
     length = windows.shape[1]
     alive = np.flatnonzero((windows >= 0).all(axis=1))
     if not len(alive):
         return
-    frequency = segment.counts[windows[alive]]
-    rarest = np.argsort(frequency, axis=1, kind="stable")
-    lists = np.take_along_axis(frequency, rarest[:, :1], 1)[:, 0]
+    rarest = rarest[alive]
+    lists = segment.counts[windows[alive, rarest[:, 0]]]
     until, at = np.cumsum(lists), 0
     while at < len(alive):
         before = until[at - 1] if at else 0
@@ -193,7 +195,8 @@ def _match_segment(segment: Segment, block: PhraseBlock, slop: int) -> Iterator[
     near: dict[int, set[int]] = {}
     for windows, items in block.groups:
         length = windows.shape[1]
-        for won, start, near_won, position in _matches(segment, ranks[windows], slop):
+        rarest = np.argsort(block.frequency[windows], axis=1, kind="stable")
+        for won, start, near_won, position in _matches(segment, ranks[windows], rarest, slop):
             np.add.at(edges, start, 1)
             np.add.at(edges, start + length, -1)
             for found, w, d in ((exact, won, segment.doc_of(start)), (near, near_won, segment.doc_of(position))):
@@ -210,6 +213,30 @@ def _match_segment(segment: Segment, block: PhraseBlock, slop: int) -> Iterator[
         yield doc, spans, sorted(exact.get(doc, ())), sorted(near.get(doc, ()))
 
 
+def corpus_frequency(index: DataFrame, block: PhraseBlock) -> np.ndarray:
+    """How often each term of a benchmark block occurs in the indexed documents."""
+    shared = index.sparkSession.sparkContext.broadcast(block.terms)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                terms, starts = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["starts"], np.int32)
+                at = np.minimum(np.searchsorted(terms, shared.value), max(0, len(terms) - 1))
+                here = np.flatnonzero(terms[at] == shared.value) if len(terms) else np.zeros(0, np.int64)
+                counts = np.diff(np.append(starts, row["n"]))
+                total[here] += counts[at[here]]
+        here = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(total[here])], names=["term", "n"])
+
+    words = F.aggregate("n_words", F.lit(0).cast("long"), lambda a, n: a + n)
+    counted = index.select("terms", "starts", words.alias("n")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    out = np.zeros(len(block.terms), np.int64)
+    for row in counted.toLocalIterator():
+        out[row["term"]] = row["n"]
+    return out
+
+
 def find_matches(
     index: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text",
     window: int = WINDOW, slop: int = SLOP,
@@ -252,6 +279,7 @@ def find_matches(
     )
     found = None
     for block in phrase_blocks(benchmark, item_col, item_text, window):
+        block.frequency = corpus_frequency(index, block)
         hits = search(spark.sparkContext.broadcast(block))
         found = hits if found is None else found.unionByName(hits)
     if found is None:
