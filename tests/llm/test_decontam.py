@@ -7,7 +7,9 @@ import re
 import pytest
 
 from tests.llm.frames import docs_frame, edge_rows, prose
+from tests.oracle_harness import compare, duck
 from tillsight.llm import decontam, queries
+from tillsight.llm.oracles import DECONTAMINATION
 
 
 def words(text):
@@ -114,3 +116,9 @@ def test_decontaminate_and_empty_tables(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted(((i, t) for i, t, *_ in clean), key=key)
     assert decontam.decontaminate(docs.limit(0), bench).count() == 0
     assert decontam.decontaminate(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_query_matches_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    result = compare(spark, duck(sf), "op10", queries.op10_decontamination, DECONTAMINATION, sf)
+    assert result["columns_match"] and result["match"], result

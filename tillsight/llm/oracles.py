@@ -66,9 +66,10 @@ _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRST
 
 DECONTAMINATION = f"""
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
-windows AS (
-  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + least(len(w), 10) - 1), ' ') AS phrase
+spots AS (
+  SELECT item_id, s, least(len(w), 10) AS n, list_slice(w, s, s + least(len(w), 10) - 1) AS ws
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)),
+windows AS (SELECT DISTINCT item_id, n, ws, array_to_string(ws, ' ') AS phrase FROM spots),
 docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM docs),
 lengths AS (SELECT DISTINCT n FROM windows),
@@ -78,18 +79,37 @@ hits AS (
         FROM placed, lengths l WHERE s + l.n - 1 <= len(w)) p
   JOIN windows x ON p.phrase = x.phrase AND p.n = x.n),
 covered AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit
-  FROM (SELECT doc_id, unnest(range(s, s + n)) AS at FROM hits) GROUP BY doc_id),
-named AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+  SELECT doc_id, count(DISTINCT spot) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS spot FROM hits) GROUP BY doc_id),
+exact_items AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM exact_items GROUP BY doc_id),
+tokens AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs),
+frequency AS (SELECT word, count(*) AS c FROM tokens GROUP BY word),
+phrases AS (SELECT phrase, any_value(ws) AS ws FROM windows GROUP BY phrase),
+terms AS (SELECT phrase, unnest(ws) AS word, generate_subscripts(ws, 1) AS off FROM phrases),
+leads AS (
+  SELECT phrase, arg_min(word, (c, off)) AS word, count(DISTINCT word) AS distinct_terms
+  FROM (SELECT t.phrase, t.word, t.off, f.c FROM terms t LEFT JOIN frequency f ON f.word = t.word)
+  GROUP BY phrase HAVING count(*) = count(c)),
+candidates AS (SELECT l.phrase, l.distinct_terms, k.doc_id, k.pos FROM leads l JOIN tokens k ON k.word = l.word),
+nearby AS (
+  SELECT c.phrase, c.doc_id, c.pos
+  FROM candidates c JOIN (SELECT DISTINCT phrase, word FROM terms) t ON t.phrase = c.phrase
+  JOIN tokens k ON k.doc_id = c.doc_id AND k.word = t.word AND k.pos BETWEEN c.pos - 20 AND c.pos + 20
+  GROUP BY c.phrase, c.doc_id, c.pos, c.distinct_terms HAVING count(DISTINCT t.word) = c.distinct_terms),
+near_items AS (
+  SELECT DISTINCT n.doc_id, CAST(x.item_id AS VARCHAR) AS i FROM nearby n JOIN windows x ON x.phrase = n.phrase),
+near_only AS (
+  SELECT n.doc_id, count(*) AS n_near FROM near_items n ANTI JOIN exact_items e ON e.doc_id = n.doc_id AND e.i = n.i GROUP BY n.doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit, 0) AS BIGINT) AS n_hit,
-       CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
-FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id
+       CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated,
+       CAST(coalesce(o.n_near, 0) AS BIGINT) AS n_near_items
+FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id LEFT JOIN near_only o ON o.doc_id = d.doc_id
 """
 
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP,
     "op6_chat_formatting": CHAT,
     "op8_exact_topk": TOPK,
+    "op10_decontamination": DECONTAMINATION,
 }
