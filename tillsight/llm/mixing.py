@@ -1,13 +1,15 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Documents are counted into cells (source, language, topic).  Each cell has a sampling
-probability; raking scales the cells of each value of one margin after the other so that the
-expected tokens meet that margin's targets, with probabilities trimmed at 1, until
-nothing moves any more.  A document is sampled if a hash of its id and text lies below its cell's
-probability: no shuffle, and the same choice at every run.
+Documents are counted into cells (source, language, topic).  Each cell has a token weight;
+raking scales the cells of each value of one margin after the other so that the weighted
+tokens meet that margin's targets, until nothing moves any more.  A cell's sampling
+probability is its weight times ``fraction``, and 1 for cells that have fewer tokens than
+their share: those are taken whole, all others stand in exact proportion.  A document is
+sampled if a hash of its id and text lies below its cell's probability: no shuffle, and the
+same choice at every run.
 
 DataFrame and SQL functions only.  Cells and margins are tables like any other; the driver
-sees only sums.
+sees only sums and one maximum.
 """
 
 from __future__ import annotations
@@ -32,14 +34,15 @@ def token_count(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.regexp_count(trimmed, F.lit(r"\s+")) + 1).cast("long")
 
 
-def topic_of(text: Column, tokens: Column) -> Column:
-    """A stand-in for a topic where a table has none: the layout of the text, else its length."""
+def topic_of(text: Column) -> Column:
+    """A stand-in for a topic where a table has none: the layout of the text, else its length
+    in UTF-8 bytes."""
     return (
         F.when(text.contains(" | "), "table")
         .when(text.contains("### ") | text.contains("%%% "), "symbols")
         .when(text.contains("!! "), "shouted")
-        .when(tokens < 100, "short")
-        .when(tokens < 600, "article")
+        .when(F.octet_length(text) < 600, "short")
+        .when(F.octet_length(text) < 4000, "article")
         .otherwise("long")
     )
 
@@ -55,68 +58,68 @@ def cell_table(docs: DataFrame, margins: tuple[str, ...], tokens: str) -> DataFr
     return staged(cells, "mixing-cells")
 
 
-def tempered_targets(cells: DataFrame, margin: str, total: float, fraction: float, temper: float) -> DataFrame:
-    """Target tokens by value of a margin (``__m``, ``__target``): shares proportional to the
-    tokens to the power ``temper``, ``fraction * total`` in all.  No value is asked for more than it
-    has; what that leaves goes to the others in proportion."""
+def tempered_targets(cells: DataFrame, margin: str, temper: float) -> DataFrame:
+    """Target weights by value of a margin (``__m``, ``__target``): tokens to the power ``temper``."""
     have = cells.groupBy(F.col(f"__{margin}").alias("__m")).agg(F.sum("__tokens").alias("__have"))
-    values = staged(have.withColumn("__raw", F.pow("__have", F.lit(temper))), "mixing-margin")
-    scale = 0.0
-    want = fraction * total
-    while True:  # each round fixes at least one more value at what it has, or ends
-        full = F.col("__raw") * scale >= F.col("__have") if scale else F.lit(False)
-        taken, open_raw = values.agg(F.sum(F.when(full, F.col("__have")).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("__raw")))).collect()[0]
-        new = (want - (taken or 0.0)) / open_raw if open_raw else scale
-        if new <= scale * (1 + 1e-9):
-            break
-        scale = new
-    return values.select("__m", F.least(F.col("__raw") * scale, F.col("__have")).alias("__target"))
+    return have.select("__m", F.pow("__have", F.lit(temper)).alias("__target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """``cells`` with ``__p``, the probability at which expected tokens meet the targets of every
-    margin: each is at most 1.  Rounds end when no probability moves by over ``tolerance`` of
-    itself, or after ``max_rounds`` (margins that contradict each other)."""
-    state = cells.withColumn("__p", F.lit(float(fraction)))
-    targets = {m: staged(t, "mixing-targets") for m, t in targets.items()}
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """``cells`` with ``__w``, the weight at which each margin's weighted tokens are in proportion to
+    its targets and sum to all tokens.  A value without a target gets weight 0.  Rounds end
+    when no weight moves by over ``tolerance`` of itself, or after ``max_rounds`` (margins
+    that contradict each other)."""
+    state = cells.withColumn("__w", F.lit(1.0))
+    total = cells.agg(F.sum("__tokens")).collect()[0][0] or 0.0
+    scaled = {}
+    for margin, target in targets.items():
+        present = cells.select(F.col(f"__{margin}").alias("__m")).distinct()
+        wanted = staged(present.join(target, "__m"), "mixing-targets")
+        whole = wanted.agg(F.sum("__target")).collect()[0][0] or 1.0
+        scaled[margin] = wanted.withColumn("__target", F.col("__target") * (total / whole))
     for _ in range(max_rounds):
-        now = state.withColumn("__before", F.col("__p"))
-        for margin, target in targets.items():
+        now = state.withColumn("__before", F.col("__w"))
+        for margin, target in scaled.items():
             key = f"__{margin}"
-            sums = now.groupBy(key).agg(F.sum(F.col("__tokens") * F.col("__p")).alias("__now"))
+            sums = now.groupBy(key).agg(F.sum(F.col("__tokens") * F.col("__w")).alias("__now"))
             factor = sums.join(target.withColumnRenamed("__m", key), key).select(
                 key, F.when(F.col("__now") > 0, F.col("__target") / F.col("__now")).otherwise(1.0).alias("__factor")
             )
-            now = now.join(factor, key, "left").withColumn("__p", F.least(F.lit(1.0), F.col("__p") * F.coalesce("__factor", F.lit(1.0)))).drop("__factor")
+            now = now.join(factor, key, "left").withColumn("__w", F.col("__w") * F.coalesce("__factor", F.lit(0.0))).drop("__factor")
         now = staged(now, "mixing-round")
-        moved = now.agg(F.max(F.abs(F.col("__p") - F.col("__before")) / F.greatest("__before", F.lit(1e-12)))).collect()[0][0]
+        moved = now.agg(F.max(F.abs(F.col("__w") - F.col("__before")) / F.greatest("__before", F.lit(1e-12)))).collect()[0][0]
         state = now.drop("__before")
         if (moved or 0.0) <= tolerance:
             break
     return state
 
 
+def calibrated(cells: DataFrame, fraction: float) -> DataFrame:
+    """``cells`` with ``__p``: weights times ``fraction``, at most 1."""
+    return cells.withColumn("__p", F.least(F.lit(1.0), F.col("__w") * F.lit(float(fraction))))
+
+
 def mixed(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margins: tuple[str, ...] = MARGINS, targets: dict[str, DataFrame] | None = None,
     fraction: float = FRACTION, temper: float = TEMPER, seed: int = SEED,
 ) -> DataFrame:
     """``docs`` with ``__tokens``, ``__p`` and ``__sampled``.  ``targets`` gives (``__m``, ``__target``) by
-    margin; without them they are tempered shares of what there is.
+    margin, in any unit; without them they are tempered shares of what there is.  The sample is
+    expected to have ``fraction`` of the tokens, less what cells that are taken whole lack.
 
     Nulls in a margin are a value of their own; null and empty texts have no tokens and the
     probability of their cell.  Rows equal in id and text share their fate.  An empty table
     gives no rows.
     """
     if "topic" in margins and "topic" not in docs.columns:
-        docs = docs.withColumn("__topic_of", topic_of(F.coalesce(F.col(text_col), F.lit("")), token_count(F.col(text_col))))
+        docs = docs.withColumn("__topic_of", topic_of(F.coalesce(F.col(text_col), F.lit(""))))
         margins = tuple("__topic_of" if m == "topic" else m for m in margins)
         targets = {("__topic_of" if m == "topic" else m): t for m, t in (targets or {}).items()}
     thin = docs.select(*margins, token_count(F.col(text_col)).alias("__n"))
     cells = cell_table(thin, margins, "__n")
-    total = cells.agg(F.sum("__tokens")).collect()[0][0] or 0.0
     wanted = {m: (targets or {}).get(m) for m in margins}
-    wanted = {m: tempered_targets(cells, m, total, fraction, temper) if t is None else t for m, t in wanted.items()}
-    cells = rake(cells, wanted, fraction)
+    wanted = {m: tempered_targets(cells, m, temper) if t is None else t for m, t in wanted.items()}
+    cells = calibrated(rake(cells, wanted), fraction)
     keys = [f"__{m}" for m in margins]
     probability = cells.select(*keys, "__p")
     with_keys = docs.select("*", *(value_of(m).alias(f"__{m}") for m in margins))
