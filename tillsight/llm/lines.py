@@ -69,7 +69,8 @@ def drop_boilerplate_lines(
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.xxhash64(F.col(text_col)).alias("__key"))
     hashes = F.array_distinct(F.transform(lines_of(F.col("__text")), line_hash))
     of_text = rows.select("__key", F.explode(hashes).alias("line")).filter("line IS NOT NULL").distinct()
-    marks = of_text.join(told, "line").groupBy("__key").agg(F.collect_list(F.struct("line", "first")).alias("__marks"))
+    # Written first, so that the join to come stands alone and copies of a text can be split over tasks.
+    marks = staged(of_text.join(told, "line").groupBy("__key").agg(F.collect_list(F.struct("line", "first")).alias("__marks")), "boilerplate-of-texts")
     goes = lambda line: F.exists("__marks", lambda m: (m["line"] == line_hash(line)) & ~m["first"].eqNullSafe(F.col("__id")))
     lines = lines_of(F.col("__text"))
     kept = F.filter(lines, lambda line: ~F.coalesce(goes(line), F.lit(False)))
