@@ -54,6 +54,77 @@ def test_rake_against_dense_fitting(spark):
     assert all(np.isclose(r["__p"], min(1, 0.5 * r["__w"])) for r in mixing.calibrated(raked, 0.5).collect())
 
 
+def plain_trimmed_rake(tokens, targets, fraction, tolerance, rounds):
+    """Dense iterative proportional fitting with probabilities trimmed at 1."""
+    p = np.full(tokens.shape, fraction)
+    for _ in range(rounds):
+        before = p.copy()
+        for axis, target in enumerate(targets):
+            other = tuple(a for a in range(tokens.ndim) if a != axis)
+            now = (tokens * p).sum(axis=other)
+            factor = np.where(now > 0, target / np.where(now > 0, now, 1), 1)
+            p = np.minimum(1, p * factor.reshape([-1 if a == axis else 1 for a in range(tokens.ndim)]))
+        if (np.abs(p - before) / before).max() <= tolerance:
+            break
+    return p
+
+
+def test_trimmed_rake_meets_margins(spark):
+    rng = np.random.default_rng(2)
+    tokens = np.rint(rng.random((4, 3, 2)) * 1000)
+    share = lambda n: (lambda x: x / x.sum())(rng.random(n) + 0.5) * 0.4 * tokens.sum()
+    targets = [share(4), share(3), share(2)]
+    cells = [(f"s{a}", f"l{b}", f"t{c}", float(tokens[a, b, c])) for a in range(4) for b in range(3) for c in range(2)]
+    frame = spark.createDataFrame(cells, "__source string, __lang string, __topic string, __tokens double")
+    tables = {
+        m: spark.createDataFrame([(f"{x}{i}", float(v)) for i, v in enumerate(t)], "__m string, __target double")
+        for m, x, t in zip(("source", "lang", "topic"), "slt", targets, strict=True)
+    }
+    raked = mixing.calibrated(mixing.rake(frame, tables, 1e-4, most=1 / 0.4), 0.4)
+    got = {(r["__source"], r["__lang"], r["__topic"]): r["__p"] for r in raked.collect()}
+    wanted = plain_trimmed_rake(tokens, targets, 0.4, 1e-4, mixing.MAX_ROUNDS)
+    assert all(np.isclose(got[f"s{a}", f"l{b}", f"t{c}"], wanted[a, b, c], rtol=1e-9) for a in range(4) for b in range(3) for c in range(2))
+    for axis, target in enumerate(targets):
+        assert np.allclose((tokens * wanted).sum(axis=tuple(a for a in range(3) if a != axis)), target, rtol=0.02)
+
+
+def test_targets_ask_for_no_more_than_there_is(spark):
+    cells = spark.createDataFrame([("a", 1000.0), ("b", 30.0), ("c", 10.0), ("d", 0.0)], "__source string, __tokens double")
+    have = cells.selectExpr("__source AS __m", "__tokens AS __most")
+    wanted = mixing.tempered_targets(cells, "source", 0.3).join(have, "__m")
+    got = {r["__m"]: r["__target"] for r in mixing.within_reach(wanted, 0.9 * 1040.0).collect()}
+    assert got["b"] == 30 and got["c"] == 10 and got["d"] == 0 and np.isclose(sum(got.values()), 0.9 * 1040)
+
+
+def test_cells_taken_whole_leave_their_lack_to_others(spark):
+    """Most of a small language lies in a cell that cannot give its share; others of it have room."""
+    sizes = {("a", "es"): 40, ("b", "es"): 400, ("a", "en"): 200, ("b", "en"): 9000, ("c", "en"): 3000, ("c", "es"): 60}
+    rows = [(f"{s}{lang}{i}", "w " * 10, lang, s) for (s, lang), n in sizes.items() for i in range(n // 10)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id string, text string, lang string, source string, topic string")
+    out = mixing.mixed(docs).collect()
+    total = sum(r["__tokens"] for r in out)
+    assert any(r["__p"] == 1 for r in out) and all(0 < r["__p"] <= 1 for r in out)
+    assert np.isclose(sum(r["__tokens"] * r["__p"] for r in out) / total, mixing.FRACTION, rtol=0.01)
+    for margin in ("source", "lang"):
+        have, expected = defaultdict(float), defaultdict(float)
+        for r in out:
+            have[r[margin]] += r["__tokens"]
+            expected[r[margin]] += r["__tokens"] * r["__p"]
+        target = plain_targets(have, mixing.FRACTION * total)
+        assert all(np.isclose(expected[v], target[v], rtol=0.01) for v in have), (margin, expected, target)
+
+
+def plain_targets(have, total):
+    """Tempered targets, none over what there is."""
+    full = set()
+    while True:
+        scale = (total - sum(have[v] for v in full)) / sum(n**mixing.TEMPER for v, n in have.items() if v not in full)
+        more = {v for v, n in have.items() if scale * n**mixing.TEMPER >= n} - full
+        if not more:
+            return {v: n if v in full else scale * n**mixing.TEMPER for v, n in have.items()}
+        full |= more
+
+
 def test_margins_and_sample(spark):
     rows = corpus()
     out = mixing.mixed(docs_frame(spark, rows)).collect()

@@ -3,10 +3,10 @@
 Documents are counted into cells (source, language, topic).  Each cell has a token weight;
 raking scales the cells of each value of one margin after the other so that the weighted
 tokens meet that margin's targets, until nothing moves any more.  A cell's sampling
-probability is its weight times ``fraction``, and 1 for cells that have fewer tokens than
-their share: those are taken whole, all others stand in exact proportion.  A document is
-sampled if a hash of its id and text lies below its cell's probability: no shuffle, and the
-same choice at every run.
+probability is its weight times ``fraction``.  Weights are trimmed within the rounds where
+that would exceed 1, so what such a cell lacks goes to others of the margin, and no value is
+asked for more tokens than it has.  A document is sampled if a hash of its id and text lies
+below its cell's probability: no shuffle, and the same choice at every run.
 
 DataFrame and SQL functions only.  Cells and margins are tables like any other; the driver
 sees only sums and one maximum.
@@ -64,19 +64,36 @@ def tempered_targets(cells: DataFrame, margin: str, temper: float) -> DataFrame:
     return have.select("__m", F.pow("__have", F.lit(temper)).alias("__target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def within_reach(wanted: DataFrame, total: float) -> DataFrame:
+    """``__m`` and ``__target`` of ``wanted`` (a small staged table) scaled to ``total`` in all, none over its
+    ``__most``; what that leaves goes to the others in proportion."""
+    scale = 0.0
+    while True:  # each round fixes at least one more value at its most, or ends
+        full = F.col("__target") * scale >= F.col("__most") if scale else F.lit(False)
+        taken, open_ = wanted.agg(F.sum(F.when(full, F.col("__most")).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("__target")))).collect()[0]
+        new = (total - (taken or 0.0)) / open_ if open_ else scale
+        if new <= scale * (1 + 1e-9):
+            break
+        scale = new
+    return wanted.select("__m", F.least(F.col("__target") * scale, F.col("__most")).alias("__target"))
+
+
+def rake(
+    cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS, most: float = float("inf"),
+) -> DataFrame:
     """``cells`` with ``__w``, the weight at which each margin's weighted tokens are in proportion to
-    its targets and sum to all tokens.  A value without a target gets weight 0.  Rounds end
+    its targets and sum to all tokens.  No weight exceeds ``most``, and no value's target
+    its tokens at that weight.  A value without a target gets weight 0.  Rounds end
     when no weight moves by over ``tolerance`` of itself, or after ``max_rounds`` (margins
     that contradict each other)."""
-    state = cells.withColumn("__w", F.lit(1.0))
+    state = cells.withColumn("__w", F.lit(min(1.0, most)))
     total = cells.agg(F.sum("__tokens")).collect()[0][0] or 0.0
     scaled = {}
     for margin, target in targets.items():
-        present = cells.select(F.col(f"__{margin}").alias("__m")).distinct()
-        wanted = staged(present.join(target, "__m"), "mixing-targets")
-        whole = wanted.agg(F.sum("__target")).collect()[0][0] or 1.0
-        scaled[margin] = wanted.withColumn("__target", F.col("__target") * (total / whole))
+        present = cells.groupBy(F.col(f"__{margin}").alias("__m")).agg((F.sum("__tokens") * F.lit(most)).alias("__most"))
+        if most == float("inf"):  # also for values without tokens
+            present = present.withColumn("__most", F.lit(most))
+        scaled[margin] = within_reach(staged(present.join(target, "__m"), "mixing-targets"), total)
     for _ in range(max_rounds):
         now = state.withColumn("__before", F.col("__w"))
         for margin, target in scaled.items():
@@ -85,7 +102,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
             factor = sums.join(target.withColumnRenamed("__m", key), key).select(
                 key, F.when(F.col("__now") > 0, F.col("__target") / F.col("__now")).otherwise(1.0).alias("__factor")
             )
-            now = now.join(factor, key, "left").withColumn("__w", F.col("__w") * F.coalesce("__factor", F.lit(0.0))).drop("__factor")
+            now = now.join(factor, key, "left").withColumn("__w", F.least(F.lit(most), F.col("__w") * F.coalesce("__factor", F.lit(0.0)))).drop("__factor")
         now = staged(now, "mixing-round")
         moved = now.agg(F.max(F.abs(F.col("__w") - F.col("__before")) / F.greatest("__before", F.lit(1e-12)))).collect()[0][0]
         state = now.drop("__before")
@@ -105,7 +122,7 @@ def mixed(
 ) -> DataFrame:
     """``docs`` with ``__tokens``, ``__p`` and ``__sampled``.  ``targets`` gives (``__m``, ``__target``) by
     margin, in any unit; without them they are tempered shares of what there is.  The sample is
-    expected to have ``fraction`` of the tokens, less what cells that are taken whole lack.
+    expected to have ``fraction`` of the tokens and to meet the targets, as far as the cells allow both.
 
     Nulls in a margin are a value of their own; null and empty texts have no tokens and the
     probability of their cell.  Rows equal in id and text share their fate.  An empty table
@@ -119,7 +136,7 @@ def mixed(
     cells = cell_table(thin, margins, "__n")
     wanted = {m: (targets or {}).get(m) for m in margins}
     wanted = {m: tempered_targets(cells, m, temper) if t is None else t for m, t in wanted.items()}
-    cells = calibrated(rake(cells, wanted), fraction)
+    cells = calibrated(rake(cells, wanted, most=1 / fraction), fraction)
     keys = [f"__{m}" for m in margins]
     probability = cells.select(*keys, "__p")
     with_keys = docs.select("*", *(value_of(m).alias(f"__{m}") for m in margins))
