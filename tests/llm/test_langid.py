@@ -90,3 +90,16 @@ def test_edges(spark):
     nothing = langid.train(docs.limit(0))
     assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
     assert langid.identify(docs.limit(0), model).count() == 0
+
+
+def test_sample_is_over_different_texts(spark, monkeypatch):
+    """A text in 3,000 copies, 200 others, and a language of few texts in many copies."""
+    letters = lambda n: "".join(chr(97 + n // 26**k % 26) for k in range(3))
+    rows = [("aa", "hotword")] * 3000 + [("aa", f"same {letters(i)}") for i in range(200)] + [("bb", f"rare {letters(n % 3)}") for n in range(2000)]
+    counted = []
+    staged = langid.staged
+    monkeypatch.setattr(langid, "staged", lambda df, purpose, *a: counted.append((purpose, out := staged(df, purpose, *a))) or out)
+    langid.train(spark.createDataFrame(rows, "lang string, text string"), sample_docs=100)
+    got = {(r.lang, r.word): r.n for purpose, df in counted if purpose == "language-words" for r in df.collect()}
+    assert 60 <= got["aa", "same"] <= 140 and got.get(("aa", "hotword"), 1) == 1
+    assert got["bb", "rare"] == 3 and all(got["bb", letters(n)] == 1 for n in range(3))

@@ -114,15 +114,17 @@ def _learn(pieces: list[str]):
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", pieces_path: str = VOCABULARY, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS):
     """(languages, piece -> vector of probabilities).  Per language at most about
-    ``sample_docs`` documents, chosen by a hash of their text, are learnt from: of their words
+    ``sample_docs`` different texts, chosen by a hash, are learnt from, each once: of their words
     all that are frequent and, if there are over ``sample_words``, a share of the rest.  Rows without a language or a
     text are left out; the model's size is languages times vocabulary."""
     with_package(docs.sparkSession)
     usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    # One number per language; the model to come has a vocabulary of them for each.
-    share = {r["lang"]: sample_docs / r["rows"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).toLocalIterator()}
+    # Copies share one draw, so shares are over different texts.  One number per language; the
+    # model to come has a vocabulary of them for each.
+    texts = usable.select("lang", F.xxhash64("text").alias("text")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    share = {r["lang"]: sample_docs / r["texts"] for r in texts.toLocalIterator()}
     shares = F.create_map(*(F.lit(x) for pair in sorted(share.items()) for x in pair)) if share else F.create_map().cast("map<string,double>")
-    sample = usable.filter(unit_hash(F.col("text"), seed=9) < F.get(F.array(shares[F.col("lang")]), F.lit(0)))
+    sample = usable.filter(unit_hash(F.col("text"), seed=9) < F.get(F.array(shares[F.col("lang")]), F.lit(0))).distinct()
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def split(texts: pa.Array) -> pa.Array:
