@@ -141,3 +141,35 @@ def test_bit_set_has_every_term(spark):
     frame = spark.createDataFrame([(int(t),) for t in terms], "term long")
     bits = np.unpackbits(pii._bit_set(frame)).view(bool)
     assert bits[pii._slots(terms)].all() and bits.sum() == len(set(pii._slots(terms).tolist()))
+
+
+LETTERS = r"[A-Za-z\x80-\U0010ffff]+"
+
+
+def plain_near(text, start, end):
+    """Terms of the whole text that lie wholly within 80 characters of an entity."""
+    runs = [m.span() for m in re.finditer(LETTERS, text)]
+    return [text[a:b] for a, b in runs if start - 80 <= a and b <= start or end <= a and b <= end + 80]
+
+
+@pytest.mark.parametrize("gap", [" ", ",", "\t", "\n", "、", "; ", "-", "é,"])
+def test_near_terms_are_the_whole_terms_in_the_window(gap):
+    rng = random.Random(gap)
+    for _ in range(200):
+        words = ["".join(rng.choice("abcXYZéß中") for _ in range(rng.randrange(1, 30))) for _ in range(rng.randrange(0, 24))]
+        cut = rng.randrange(0, len(words) + 1)
+        text = gap.join([*words[:cut], "ann@example.org", *words[cut:]])
+        start = text.index("ann@example.org")
+        end = start + len("ann@example.org")
+        assert re.findall(LETTERS, pii._near_terms(text, start, end)) == plain_near(text, start, end), text
+
+
+def test_rows_without_spaces_have_near_terms(spark):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, 30, 25), "en", "a") for i in range(150)]
+    line = lambda i: ",".join([*prose(rng, 25, 25).split()[:25], "Zaphod", "Beeblebrox", "ann@x.org", *prose(rng, 25, 25).split()[:25], str(i)])
+    rows += [(1000 + i, line(i), "en", "a") for i in range(8)]
+    found = {r.doc_id: r for r in pii.find_spans(docs_frame(spark, rows)).collect()}
+    for i, text, _, _ in rows[-8:]:
+        told = {text[t.start : t.stop] for t in found[i].terms}
+        assert {"Zaphod", "Beeblebrox"} <= told

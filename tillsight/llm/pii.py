@@ -116,14 +116,28 @@ def _terms(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nd
         at = to
 
 
+def _in_term(c: str) -> bool:
+    """Whether a character's UTF-8 bytes are ``_TERM_BYTES``."""
+    return c >= "\x80" or bool(_TERM_BYTES[ord(c)])
+
+
+def _splits(text: str, at: int) -> bool:
+    return 0 < at < len(text) and _in_term(text[at - 1]) and _in_term(text[at])
+
+
 def _near_terms(text: str, start: int, end: int) -> str:
-    """The text on both sides of an entity, without words that the cut may have split."""
-    left, right = text[max(0, start - NEAR_CHARS) : start], text[end : end + NEAR_CHARS]
-    if start > NEAR_CHARS:
-        left = left.partition(" ")[2]
-    if end + NEAR_CHARS < len(text):
-        right = right.rpartition(" ")[0]
-    return left + "\n" + right
+    """The text on both sides of an entity, without runs of term letters that the cut or the
+    entity's own border splits."""
+    a, b, c, d = max(0, start - NEAR_CHARS), start, end, min(len(text), end + NEAR_CHARS)
+    while a < b and _splits(text, a):
+        a += 1
+    while a < b and _splits(text, b):
+        b -= 1
+    while c < d and _splits(text, c):
+        c += 1
+    while c < d and _splits(text, d):
+        d -= 1
+    return text[a:b] + "\n" + text[c:d]
 
 
 _PAIR = T.StructType([T.StructField("place", T.LongType()), T.StructField("entity", T.LongType()), T.StructField("term", T.LongType())])
