@@ -173,3 +173,27 @@ def test_rows_without_spaces_have_near_terms(spark):
     for i, text, _, _ in rows[-8:]:
         told = {text[t.start : t.stop] for t in found[i].terms}
         assert {"Zaphod", "Beeblebrox"} <= told
+
+
+def test_support_is_judged_by_texts_and_chance(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 40, 25), "en", "a") for i in range(400)]
+    wide = lambda s: f"{prose(rng, 30, 25)} {'- ' * 45}{s}{' -' * 45} {prose(rng, 30, 25)}"
+    rows += [(1000 + i, wide("regards, Zaphod ann@x.org"), "en", "a") for i in range(40)]  # one passage, other documents
+    rows += [(2000 + i, wide("Slartibart bob@x.org"), "en", "a") for i in range(2)]  # a small entity
+    rows += [(3000, wide("hapaxword eve@x.org"), "en", "a")]  # once: no more than chance
+    rows += [(4000 + i, rows[-1][1].replace("hapaxword eve", "copiedword dan"), "en", "a") for i in range(50)]  # copies are one text
+    found = {r.doc_id: r for r in pii.find_spans(docs_frame(spark, rows)).collect()}
+    told = {i: {text[t.start : t.stop] for t in found[i].terms} for i, text, _, _ in rows}
+    assert all("Zaphod" in told[1000 + i] for i in range(40))
+    assert "Slartibart" in told[2000] and "Slartibart" in told[2001]
+    assert "hapaxword" not in told[3000] and "copiedword" not in told[4000]
+
+
+def test_evidence_bounds_the_hypergeometric_tail(spark):
+    cases = [(d, c, t, k) for d, c, t in ((50, 5, 7), (400, 2, 2), (30, 15, 4), (200, 40, 3)) for k in range(1, min(c, t) + 1)]
+    tail = lambda d, c, t, k: sum(math.comb(t, x) * math.comb(d - t, c - x) for x in range(k, min(c, t) + 1)) / math.comb(d, c)
+    frame = spark.createDataFrame([tuple(map(float, x)) for x in cases], "d double, c double, t double, k double")
+    got = frame.select("d", "c", "t", "k", pii._evidence(*(frame[x] for x in "dctk")).alias("e")).collect()
+    assert all(tail(*map(int, r[:4])) <= math.exp(-r.e) * (1 + 1e-9) for r in got)
+    assert any(r.e > 9 for r in got)

@@ -4,8 +4,12 @@ Pattern spans (e-mail, IP address, card, phone) are the protected entities.  Cor
 co-occurrence then tells how much each term says about an entity: with document
 frequencies n, a term t near entity c discloses the share PMI(c, t) / IC(c) =
 1 + ln(n_ct / n_t) / ln(N / n_c) of the entity's information.  Terms that disclose
-``GENERALISE`` of it or more, and stood near the entity in at least ``SUPPORT``
-different surroundings (which copies of a text share), are generalised wherever they occur; from ``REMOVE`` on they are removed.
+``GENERALISE`` of it or more are generalised wherever they occur; from ``REMOVE`` on they are removed.
+
+Chance is told apart by a test over different texts (copies of a whole text count once): that so
+many texts have both must have a probability of at most ``CHANCE`` if terms and entities were
+spread independently.  Pairs in fewer than ``SUPPORT`` texts are many, so for them the bound holds for
+all pairs of the corpus together.
 
 All statistics are sums over all documents.  The terms in question are passed to the tasks
 as a bit set of fixed size, only to skip what cannot matter; joins decide.
@@ -13,6 +17,7 @@ as a bit set of fixed size, only to skip what cannot matter; joins decide.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -28,6 +33,7 @@ from tillsight.llm.common import ROW_ID, hash_words, staged, text_buffers, with_
 KINDS = ("email", "ip", "card", "phone")
 NEAR_CHARS = 80
 SUPPORT = 3
+CHANCE = 0.01
 GENERALISE = 0.9
 REMOVE = 0.97
 FILTER_BITS = 24
@@ -140,14 +146,14 @@ def _near_terms(text: str, start: int, end: int) -> str:
     return text[a:b] + "\n" + text[c:d]
 
 
-_PAIR = T.StructType([T.StructField("place", T.LongType()), T.StructField("entity", T.LongType()), T.StructField("term", T.LongType())])
+_PAIR = T.StructType([T.StructField("text", T.LongType()), T.StructField("entity", T.LongType()), T.StructField("term", T.LongType())])
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, entity in it and distinct term near that entity; a null term
     stands for the entity itself."""
     for batch in batches:
-        entities, places, sides = [], [], []
+        entities, documents, sides = [], [], []
         for text in batch.column(0):
             if not text.is_valid:
                 continue
@@ -158,10 +164,11 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     value = text[a:b].lower() if kind == "email" else "".join(c for c in text[a:b] if c.isdigit() or c == ".")
                     by_entity.setdefault(xxhash.xxh64_intdigest(f"{kind}:{value}") >> 1, []).append(_near_terms(text, a, b))
             if by_entity:
+                key = xxhash.xxh64_intdigest(text) >> 1
                 for entity, near in by_entity.items():
                     entities.append(entity)
+                    documents.append(key)
                     sides.append("\n".join(near))
-                    places.append(xxhash.xxh64_intdigest(sides[-1]) >> 1)
         rows = [(np.arange(len(sides)), np.full(len(sides), -1))]  # a null term for each entity
         for first, owner, hashes, *_ in _terms(pa.array(sides, pa.string())):
             both = np.unique(np.stack((owner + first, hashes)), axis=1)
@@ -170,8 +177,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = np.concatenate([r[1] for r in rows])
         null = np.concatenate([np.full(len(r[0]), i == 0) for i, r in enumerate(rows)])
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.array(places, np.int64)[of]), pa.array(np.array(entities, np.int64)[of]), pa.array(terms, pa.int64(), mask=null),
-        ], names=["place", "entity", "term"])
+            pa.array(np.array(documents, np.int64)[of]), pa.array(np.array(entities, np.int64)[of]), pa.array(terms, pa.int64(), mask=null),
+        ], names=["text", "entity", "term"])
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
@@ -206,21 +213,43 @@ def _counter(shared) -> Callable:
     return count
 
 
+def _surprise(draws: Column, hits: Column, chance: Column) -> Column:
+    """Minus the logarithm of a bound (Chernoff, Hoeffding) on the probability of ``hits`` or more in ``draws``
+    with or without putting back; 0 if that many are expected."""
+    share = hits / draws
+    missed = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - chance))).otherwise(0.0)
+    return F.when(share > chance, draws * (share * F.log(share / chance) + missed)).otherwise(0.0)
+
+
+def _evidence(texts: Column, of_entity: Column, of_term: Column, both: Column) -> Column:
+    """The better of both readings of the hypergeometric tail: the entity's texts as draws, or the term's."""
+    return F.greatest(_surprise(of_entity, both, of_term / texts), _surprise(of_term, both, of_entity / texts))
+
+
 def disclosing_terms(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """``term`` (its hash) and ``share``: the largest share of a protected entity's information
     that the term discloses, for terms that reach ``threshold``."""
     spark = with_package(docs.sparkSession)
     texts = docs.select(F.col(text_col).alias("text")).filter(F.col(text_col).isNotNull())
-    pairs = staged(texts.mapInArrow(_pairs, _PAIR).groupBy("entity", "term", "place").agg(F.count(F.lit(1)).alias("n")), "entity-terms")
-    joint = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count(F.lit(1)).alias("places"))
-    n_c = joint.filter("term IS NULL").select("entity", F.col("n_ct").alias("n_c"))
-    joint = staged(joint.filter(F.col("term").isNotNull() & (F.col("places") >= support)).join(n_c, "entity"), "entity-term-counts")
+    pairs = staged(texts.mapInArrow(_pairs, _PAIR).groupBy("entity", "term", "text").agg(F.count(F.lit(1)).alias("n")), "entity-terms")
+    joint = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count(F.lit(1)).alias("d_ct"))
+    n_c = joint.filter("term IS NULL").select("entity", F.col("n_ct").alias("n_c"), F.col("d_ct").alias("d_c"))
+    joint = staged(joint.filter(F.col("term").isNotNull()).join(n_c, "entity"), "entity-term-counts")
     total = docs.count()
+    different = F.lit(float(max(1, texts.select(F.xxhash64("text")).distinct().count())))
+    needed = F.lit(-math.log(CHANCE)) + F.when(F.col("d_ct") < support, math.log(max(1, joint.count()))).otherwise(0.0)
+    # An entity in every document holds no information to disclose.
+    share = lambda n_t: 1 + F.log(F.col("n_ct") / n_t) / F.log(F.lit(float(max(total, 1))) / F.col("n_c"))
+    # The term's other documents are at most so many different texts.
+    real = lambda n_t: _evidence(different, F.col("d_c"), F.col("d_ct") + n_t - F.col("n_ct"), F.col("d_ct")) >= needed
+    # Both fall with n_t.  What fails with the documents where the term is near any entity, which are
+    # fewer, needs no count over the corpus.
+    near = pairs.filter("term IS NOT NULL").groupBy("term", "text").agg(F.max("n").alias("n")).groupBy("term").agg(F.sum("n").alias("n_near"))
+    joint = joint.filter(F.col("n_c") < total).join(staged(near, "near-terms"), "term")
+    joint = staged(joint.filter((share(F.col("n_near")) >= threshold) & real(F.col("n_near"))).drop("n_near"), "entity-term-candidates")
     shared = spark.sparkContext.broadcast(_bit_set(joint.select("term")))
     seen = texts.mapInArrow(_counter(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
-    # An entity in every document holds no information to disclose.
-    share = 1 + F.log(F.col("n_ct") / F.col("n_t")) / F.log(F.lit(float(max(total, 1))) / F.col("n_c"))
-    told = joint.filter(F.col("n_c") < total).join(seen, "term").select("term", share.alias("share"))
+    told = joint.join(seen, "term").filter(real(F.col("n_t"))).select("term", share(F.col("n_t")).alias("share"))
     return staged(told.groupBy("term").agg(F.max("share").alias("share")).filter(F.col("share") >= threshold), "disclosing-terms")
 
 
