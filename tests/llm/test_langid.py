@@ -103,3 +103,18 @@ def test_sample_is_over_different_texts(spark, monkeypatch):
     got = {(r.lang, r.word): r.n for purpose, df in counted if purpose == "language-words" for r in df.collect()}
     assert 60 <= got["aa", "same"] <= 140 and got.get(("aa", "hotword"), 1) == 1
     assert got["bb", "rare"] == 3 and all(got["bb", letters(n)] == 1 for n in range(3))
+
+
+def test_signs_without_letters_have_no_language_at_any_length(spark):
+    rows = [(1, "hello world of words", "en", "a"), (2, "½ ¼ ² ³ " * 2, "en", "a"), (3, "½ ¼ ² ³ " * 500, "en", "a"), (4, "½ ¼ ² ³ " * 500 + "the", "en", "a")]
+    docs = docs_frame(spark, rows)
+    out = {r.doc_id: r for r in langid.identify(docs, langid.train(docs.filter("doc_id = 1"))).collect()}
+    assert [out[i].lang_pred for i in (1, 2, 3, 4)] == ["en", "und", "und", "en"] and out[3].score == 0
+
+
+def test_long_words_are_learnt_from_in_stretches(spark):
+    word = "the" * 100
+    assert "".join(langid.marked(s) for s in langid.stretches(word)) == "▁" + word and langid.stretches("a" * 64) == ["a" * 64]
+    docs = spark.createDataFrame([("aa", word), ("bb", "of")], "lang string, text string")
+    languages, table = langid.train(docs)
+    assert languages == ["aa", "bb"] and table["the"][0] > 10 * table["the"][1]

@@ -39,6 +39,10 @@ GROUP_BYTES = 1 << 19
 CACHE_NUMBERS = 1_200_000
 UNDETERMINED = "und"
 _START = "▁"
+#: Longer words are learnt from in stretches of so many characters; all but the first have a
+#: mark that no word has in place of that of a word's start.
+STRETCH = 64
+_GOES_ON = "-"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -55,11 +59,19 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def stretches(word: str) -> list[str]:
+    return [word[:STRETCH], *(_GOES_ON + word[at : at + STRETCH] for at in range(STRETCH, len(word), STRETCH))]
+
+
+def marked(word: str) -> str:
+    return word[1:] if word.startswith(_GOES_ON) else _START + word
+
+
 def _expected(words: list[str], times: list[float], logs: dict[str, float], floor: float) -> dict[str, float]:
     """Expected piece counts over all segmentations (forward-backward), with scaled sums."""
     counts: dict[str, float] = dict.fromkeys(logs, 0.0)
     for word, n in zip(words, times, strict=True):
-        word = _START + word
+        word = marked(word)
         size = len(word)
         forward, scale = [1.0] + [0.0] * size, [1.0] * (size + 1)
         arcs: list[tuple[int, int, str, float]] = []
@@ -96,7 +108,7 @@ def _learn(pieces: list[str]):
         present: dict[str, float] = {}
         known = set(pieces)
         for word in words:  # pieces that occur at all start out alike
-            word = _START + word
+            word = marked(word)
             for begin in range(len(word)):
                 for end in range(begin + 1, min(len(word), begin + LONGEST) + 1):
                     if word[begin:end] in known:
@@ -128,10 +140,10 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", piece
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def split(texts: pa.Array) -> pa.Array:
-        return pa.array([words_of(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        return pa.array([[s for w in words_of(t) for s in stretches(w)] for t in texts.to_pylist()], pa.list_(pa.string()))
 
     counted = sample.select("lang", F.explode(split("text")).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    counted = staged(counted.filter(F.length("word") <= 64), "language-words")
+    counted = staged(counted, "language-words")
     best = staged(counted.groupBy("lang").agg(F.max_by(F.col("n"), F.col("n")).alias("top"), F.count(F.lit(1)).alias("words"), F.sum("n").alias("total")), "language-totals")
     # Of the many words that occur once or twice a share is enough: those a hash chooses.
     chance = F.lit(float(sample_words)) / F.col("words")
@@ -312,8 +324,8 @@ def predict_column(spark: SparkSession, model, text: Column) -> Column:
             for some in groups_of(texts, GROUP_BYTES):
                 strings = [t or "" for t in some.to_pylist()]
                 for text, logs, words in zip(strings, *scorer.texts(strings), strict=True):
-                    # Few words may be signs that only count as letters, such as raised figures.
-                    if not words or not len(logs) or (words < 8 and not any(map(str.isalpha, text))):
+                    # Words may be signs that only count as letters, such as raised figures.
+                    if not words or not len(logs) or not any(map(str.isalpha, text)):
                         names.append(UNDETERMINED)
                         shares.append(0.0)
                         continue
