@@ -197,3 +197,12 @@ def test_evidence_bounds_the_hypergeometric_tail(spark):
     got = frame.select("d", "c", "t", "k", pii._evidence(*(frame[x] for x in "dctk")).alias("e")).collect()
     assert all(tail(*map(int, r[:4])) <= math.exp(-r.e) * (1 + 1e-9) for r in got)
     assert any(r.e > 9 for r in got)
+
+
+def test_short_terms_and_numbers_disclose(spark):
+    rng = random.Random(6)
+    rows = [(i, f"{prose(rng, 30, 25)} {i}", "en", "a") for i in range(300)]
+    rows += [(1000 + i, f"{prose(rng, 30, 25)} Lee case 77A4711 李 ann@x.org ref 990017 {prose(rng, 30, 25)}", "en", "a") for i in range(8)]
+    found = {r.doc_id: r for r in pii.find_spans(docs_frame(spark, rows)).collect()}
+    for i, text, _, _ in rows[-8:]:
+        assert {"Lee", "77A4711", "李", "990017"} <= {text[t.start : t.stop] for t in found[i].terms}

@@ -37,8 +37,10 @@ CHANCE = 0.01
 GENERALISE = 0.9
 REMOVE = 0.97
 FILTER_BITS = 24
-MIN_TERM_BYTES = 4
+MIN_TERM_BYTES = 1
 _SLICE_BYTES = 2 << 20
+#: Counts that a task holds before it sums or passes them on.
+_HELD = 1 << 20
 
 # The patterns of the contract, in a form that reads any text once.
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -49,7 +51,7 @@ _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 _TERM_BYTES = np.zeros(256, bool)
-_TERM_BYTES[65:91] = _TERM_BYTES[97:123] = True
+_TERM_BYTES[48:58] = _TERM_BYTES[65:91] = _TERM_BYTES[97:123] = True
 _TERM_BYTES[128:] = True
 
 
@@ -132,7 +134,7 @@ def _splits(text: str, at: int) -> bool:
 
 
 def _near_terms(text: str, start: int, end: int) -> str:
-    """The text on both sides of an entity, without runs of term letters that the cut or the
+    """The text on both sides of an entity, without runs of letters and digits that the cut or the
     entity's own border splits."""
     a, b, c, d = max(0, start - NEAR_CHARS), start, end, min(len(text), end + NEAR_CHARS)
     while a < b and _splits(text, a):
@@ -201,14 +203,32 @@ def _bit_set(terms: DataFrame) -> np.ndarray:
 
 
 def _counter(shared) -> Callable:
+    """Documents by term, summed over a task's slices as far as ``_HELD`` goes."""
+
+    def summed(held: list) -> tuple[np.ndarray, np.ndarray]:
+        terms, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        times = np.zeros(len(terms), np.int64)
+        np.add.at(times, at, np.concatenate([h[1] for h in held]))
+        return terms, times
+
+    def rows(held: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*map(pa.array, summed(held))], names=["term", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(shared.value).view(bool)
+        held: list = []
         for batch in batches:
             for _, owner, hashes, *_ in _terms(batch.column(0)):
                 hit = np.flatnonzero(wanted[_slots(hashes)])
                 distinct = np.unique(np.stack((hashes[hit], owner[hit])), axis=1)[0]
-                terms, times = np.unique(distinct, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(times.astype(np.int64))], names=["term", "n"])
+                held.append(np.unique(distinct, return_counts=True))
+                if sum(len(h[0]) for h in held) > _HELD:
+                    held = [summed(held)]
+                    if len(held[0][0]) > _HELD // 2:
+                        yield rows(held)
+                        held = []
+        if held:
+            yield rows(held)
 
     return count
 
