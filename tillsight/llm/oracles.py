@@ -107,9 +107,46 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit, 0)
 FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id LEFT JOIN near_only o ON o.doc_id = d.doc_id
 """
 
+
+
+def _clustering(k: int = 40, rounds: int = 5) -> str:
+    """Lloyd rounds one after the other: distances as list sums, means as exact floors."""
+    parts = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v
+  FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM kept ORDER BY h, v LIMIT {k}))""",
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (
+  SELECT row, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT k.row, c.cluster, CAST(list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+        FROM kept k, c{n} c)
+  GROUP BY row)""")
+        if n < rounds:
+            parts.append(f"""m{n} AS MATERIALIZED (
+  SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS v
+  FROM (SELECT a.cluster, t.pos, sum(k.v[t.pos]) AS s, count(*) AS n
+        FROM a{n} a JOIN kept k ON k.row = a.row, (SELECT unnest(range(1, 65)) AS pos) t GROUP BY a.cluster, t.pos)
+  GROUP BY cluster),
+c{n + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m ON m.cluster = c.cluster)""")
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT k.vec_id, CAST(a.cluster AS INTEGER) AS cluster, a.distance,
+       CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(a.distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept k ON k.row = a.row JOIN c{rounds} c ON c.cluster = a.cluster
+"""
+    )
+
+
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP,
     "op6_chat_formatting": CHAT,
     "op8_exact_topk": TOPK,
     "op10_decontamination": DECONTAMINATION,
+    "op12_centroid_clustering": _clustering(),
 }

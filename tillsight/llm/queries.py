@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import chat, decontam, langid, lines, mixing, pii, quality, sharding, simhash, topk
+from tillsight.llm import centroids, chat, decontam, langid, lines, mixing, pii, quality, sharding, simhash, topk
 from tillsight.llm.common import crc32_of, staged, utf8_bytes
 
 SHARDS = 24
@@ -97,12 +97,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster_vectors(_table(spark, sf_dir, "embeddings")))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (
         op1_line_dedup, op2_sharding, op3_mixing, op4_quality_classifier, op5_simhash_near_dedup, op6_chat_formatting,
         op7_pii, op8_exact_topk, op9_language_id, op10_decontamination,
+        op12_centroid_clustering,
     )
     return {q.__name__: q for q in own} | {"pipeline": corpus_pipeline.run}
 
