@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import centroids, chat, decontam, langid, lines, mixing, pii, quality, sharding, simhash, topk
+from tillsight.llm import bpe, centroids, chat, decontam, langid, lines, mixing, pii, quality, sharding, simhash, topk
 from tillsight.llm.common import crc32_of, staged, utf8_bytes
 
 SHARDS = 24
@@ -101,13 +101,19 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_inertia(*centroids.cluster_vectors(_table(spark, sf_dir, "embeddings")))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_texts(_table(spark, sf_dir, "documents"))
+    decoded = bpe.decode_column(spark, F.col("ids"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoded.cast("binary"), 256).alias("decoded_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (
         op1_line_dedup, op2_sharding, op3_mixing, op4_quality_classifier, op5_simhash_near_dedup, op6_chat_formatting,
         op7_pii, op8_exact_topk, op9_language_id, op10_decontamination,
-        op12_centroid_clustering,
+        op12_centroid_clustering, op13_byte_bpe,
     )
     return {q.__name__: q for q in own} | {"pipeline": corpus_pipeline.run}
 
