@@ -143,10 +143,58 @@ FROM a{rounds} a JOIN kept k ON k.row = a.row JOIN c{rounds} c ON c.cluster = a.
     )
 
 
+def _tree(name: str, levels: int) -> list[str]:
+    """Levels of all trees over ``{name}0`` (k, i, h: tree, number, digest), each with the digests left (l) and right (r) of
+    a node in its run; a tree of one node stays as it is."""
+    parts = []
+    for n in range(levels + 1):
+        parts.append(f"""{name}s{n} AS MATERIALIZED (
+  SELECT a.k, a.i, any_value(a.h) AS h, any_value(a.c) AS c, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS r
+  FROM (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM {name}{n}) a JOIN {name}{n} b ON a.k = b.k AND a.i // 8 = b.i // 8
+  GROUP BY a.k, a.i)""")
+        if n < levels:
+            parts.append(f"""{name}{n + 1} AS MATERIALIZED (
+  SELECT k, i // 8 AS i, CASE WHEN max(c) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}s{n} GROUP BY k, i // 8)""")
+    return parts
+
+
+def _manifest(levels: int = 8, top: int = 3) -> str:
+    """Up to 8**8 rows a language and 8**3 languages."""
+    field = lambda x: f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+    digest = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        """crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t)""",
+        f"""docs AS MATERIALIZED (
+  SELECT coalesce('=' || lang, '') AS k, doc_id, {digest("text")} AS leaf, {digest(lower)} AS folded,
+         xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+             lambda c, b: xor(c // 256, crc.t[(xor(c, b) % 256) + 1]))) % 3 = 0 AS tampered
+  FROM documents, crc)""",
+        "placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM docs)",
+        "n0 AS MATERIALIZED (SELECT k, i, leaf AS h FROM placed)", *_tree("n", levels),
+        f"t0 AS MATERIALIZED (SELECT '' AS k, row_number() OVER (ORDER BY k) - 1 AS i, h, k AS lang_key FROM n{levels})", *_tree("t", top),
+        "f0 AS (SELECT *, CASE WHEN tampered THEN folded ELSE leaf END AS h, '' AS p FROM placed)",
+    ]
+    step = "SELECT f.* REPLACE (CASE WHEN s.c = 1 THEN f.h ELSE sha256(s.l || f.h || s.r) END AS h, f.p || s.l || s.r AS p) FROM"
+    for n in range(levels):
+        parts.append(f"f{n + 1} AS ({step} f{n} f JOIN ns{n} s ON s.k = f.k AND s.i = f.i // {8**n})")
+    parts.append(f"g0 AS (SELECT f.*, t.i AS ti, t.h AS subroot FROM f{levels} f JOIN t0 t ON t.lang_key = f.k)")
+    for n in range(top):
+        parts.append(f"g{n + 1} AS ({step} g{n} f JOIN ts{n} s ON s.i = f.ti // {8**n})")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT g.doc_id, g.leaf, g.subroot, t.h AS root, sha256(g.p) AS proof_sha256, g.h AS folded_root, g.h = t.h AS verified
+FROM g{top} g, t{top} t
+"""
+
+
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP,
     "op6_chat_formatting": CHAT,
     "op8_exact_topk": TOPK,
     "op10_decontamination": DECONTAMINATION,
+    "op11_merkle_manifest": _manifest(),
     "op12_centroid_clustering": _clustering(),
 }

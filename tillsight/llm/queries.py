@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import bpe, centroids, chat, decontam, langid, lines, mixing, pii, quality, sharding, simhash, topk
+from tillsight.llm import bpe, centroids, chat, decontam, langid, lines, merkle, mixing, pii, quality, sharding, simhash, topk
 from tillsight.llm.common import crc32_of, staged, utf8_bytes
 
 SHARDS = 24
@@ -97,6 +98,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = {c: F.col(c) for c in merkle.FIELDS}
+    lower = fields | {"text": F.translate("text", string.ascii_uppercase, string.ascii_lowercase)}
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaf = merkle.leaf(*fields.values())
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "lang", leaf.alias("leaf"), F.when(tampered, merkle.leaf(*lower.values())).alias("claimed"))
+    manifest = merkle.build_manifest(rows, "lang", ["doc_id"], "leaf", ["doc_id", "claimed"])
+    return merkle.proofs(manifest, "claimed").select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_inertia(*centroids.cluster_vectors(_table(spark, sf_dir, "embeddings")))
 
@@ -113,7 +124,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_line_dedup, op2_sharding, op3_mixing, op4_quality_classifier, op5_simhash_near_dedup, op6_chat_formatting,
         op7_pii, op8_exact_topk, op9_language_id, op10_decontamination,
-        op12_centroid_clustering, op13_byte_bpe,
+        op11_merkle_manifest, op12_centroid_clustering, op13_byte_bpe,
     )
     return {q.__name__: q for q in own} | {"pipeline": corpus_pipeline.run}
 
