@@ -234,3 +234,27 @@ def test_rows_come_in_the_tables_order(spark, queries, key):
                 continue
             assert (x is None) if way == 1 and None in (x, y) else (y is None) if None in (x, y) else (x < y) == (way == 1), (key, a, b)
             break
+
+
+def test_five_tables_read_one_dimension_aggregate(spark):
+    """The export's month, weekday, hour, country and market tables (and what is derived from them) read the
+    staged dimension aggregate; none of them reads the invoice rollup again."""
+    from tillsight.plans.export import staged_tables
+    from tillsight.plans.registry import FIXTURE_PARAMS, fixture_tables
+    from tillsight.plans.scratch import discard
+    from tillsight.sources.fixture import raw_invoice_lines
+
+    paths: list[str] = []
+    tables = staged_tables(spark, raw_invoice_lines(spark, SF_SMALL), FIXTURE_PARAMS, paths=paths)
+    direct = fixture_tables(spark, SF_SMALL)
+    try:
+        for name in (
+            "monthly_sales_trend", "weekday_sales", "hourly_sales", "country_performance", "market_share_uk_vs_non_uk",
+            "monthly_revenue_extremes", "top_countries_by_revenue", "potential_growth_markets",
+        ):
+            files = tables.table(name).inputFiles()
+            assert files and all("dimension-rollup" in f for f in files), name
+            assert tables.table(name).schema.simpleString() == direct.table(name).schema.simpleString()
+            assert [tuple(r) for r in tables.table(name).collect()] == [tuple(r) for r in direct.table(name).collect()], name
+    finally:
+        discard(spark, paths)

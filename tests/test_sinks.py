@@ -87,8 +87,72 @@ def test_large_tables_stay_distributed(spark, monkeypatch):
         files.write_json(countries, new_run_dir(spark, "test-large-json"), small=True),
     ):
         assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 8
-    with pytest.raises(files.TooManyRows):
-        files.write_json_array(countries, new_run_dir(spark, "test-large-array"))
+    path = files.write_json_array(countries, new_run_dir(spark, "test-large-array"))
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) > 1
+
+
+def test_json_array_of_a_million_rows(spark):
+    """The part files one after the other are one JSON array in the frame's order; it reads back equal."""
+    import json
+
+    from tillsight.sinks.files import read_json_array, write_json_array
+
+    rows = spark.range(0, 1_000_000, 1, 7).selectExpr("id AS Number", "if(id % 3 = 0, NULL, concat('a]}\n,[', id)) AS Name", "array(struct(id AS Inner)) AS Parts")
+    path = write_json_array(rows, new_run_dir(spark, "test-million"))
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert len(parts) > 1
+    text = "".join(open(os.path.join(path, f), encoding="utf-8").read() for f in parts)
+    document = json.loads(text)
+    assert [r["Number"] for r in document] == list(range(1_000_000))
+    assert document[4] == {"Number": 4, "Name": "a]}\n,[4", "Parts": [{"Inner": 4}]} and document[3]["Name"] is None
+    back = read_json_array(spark, path, rows.schema)
+    assert back.count() == 1_000_000 and back.exceptAll(rows).count() == 0
+
+
+def test_json_array_leaves_no_scratch(spark, monkeypatch):
+    from tillsight.plans.scratch import checkpoint_root
+    from tillsight.sinks import files
+
+    monkeypatch.setattr(files, "ONE_FILE_ROWS", 10)
+    folder = f"{checkpoint_root(spark).removeprefix('file:')}/tillsight"
+    files.write_json_array(spark.range(100), new_run_dir(spark, "test-scratch"))
+    assert not [f for f in os.listdir(folder) if f.startswith("json-array-")]
+
+
+def test_lines_of_other_lengths_are_recorded(spark):
+    from tillsight.sources.delimited import malformed_lines, read_checked_lines
+
+    good = '1;A;"x;""y";2;01/12/2010 08:26;1,5;7;UK'
+    quoted = '1;A;"x;y";2;01/12/2010 08:26;1,5;7;UK;;"more;of it"'
+    text = "\n".join([HEADER, good, "2;B;z", quoted, "3;C;;;;;;", '4;"a \\";b"']) + "\n"
+    rows = read_checked_lines(spark, _file(text)).collect()
+    assert len(rows) == 5 and sorted((r.FieldCount or 0) for r in rows) == [0, 0, 2, 3, 10]
+    kept = {r.FieldCount: r.MalformedLine for r in rows if r.FieldCount}
+    assert kept == {3: "2;B;z", 10: quoted, 2: '4;"a \\";b"'}
+    short = next(r for r in rows if r.InvoiceNo == "2")
+    assert short.Description == "z" and short.Quantity is None and short.Country is None
+    plain = read_invoice_lines(spark, _file(text))
+    assert read_checked_lines(spark, _file(text)).drop("MalformedLine", "FieldCount").exceptAll(plain).count() == 0
+    assert malformed_lines(read_checked_lines(spark, _file(text))).select("InvoiceNo").count() == 3
+    assert read_checked_lines(spark, _file(HEADER + "\n")).count() == 0
+
+
+def test_named_files(spark):
+    import json
+
+    from tillsight.plans.export import EXPORTED_TABLES, export_all_tables, missing_tables
+    from tillsight.plans.registry import FIXTURE_PARAMS
+    from tillsight.sources.fixture import raw_invoice_lines
+
+    root = new_run_dir(spark, "test-named-files")
+    for _ in range(2):  # a second run replaces the first
+        manifest = export_all_tables(spark, raw_invoice_lines(spark, SF_SMALL), root, FIXTURE_PARAMS, json_format="array", named_files=True).collect()
+    folder = root.removeprefix("file:")
+    assert sorted(f for f in os.listdir(folder) if not f.startswith(".")) == sorted(f"{n}.{k}" for n in EXPORTED_TABLES for k in ("csv", "json"))
+    counts = {r.TableName: r.RowCount for r in manifest}
+    for name in EXPORTED_TABLES:
+        assert len(json.load(open(f"{folder}/{name}.json", encoding="utf-8"))) == counts[name]
+    assert missing_tables(spark, root) == []
 
 
 def test_small_writers_hold_no_table_in_one_value(spark):

@@ -1,6 +1,6 @@
 """Batch job: profile, clean and export every table (the original's entry point).
 
-    spark-submit tillsight/job.py <input path> [output root] [--focus-country X]
+    spark-submit tillsight/job.py [input path] [output root] [--focus-country X]
     python -m tillsight.job hdfs://namenode:9000/data/online-retail/ /out
 
 Input is any Hadoop-compatible path (file, folder or glob) of ';' invoice
@@ -27,9 +27,13 @@ from tillsight.plans.scratch import discard, stage
 from tillsight.sources.delimited import read_invoice_lines
 
 
+# Where a local run looks for its input.
+DEFAULT_INPUT = "data/Online Retail.csv"
+
+
 def parse_args(argv: list[str]) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="tillsight.job", description=__doc__.splitlines()[0])
-    ap.add_argument("input", help="invoice CSV path (file, folder or glob; any Hadoop FS)")
+    ap.add_argument("input", nargs="?", default=DEFAULT_INPUT, help="invoice CSV path (file, folder or glob; any Hadoop FS)")
     ap.add_argument("output", nargs="?", default="output", help="output root for CSV/JSON tables")
     ap.add_argument("--focus-country", default=MarketRules.focus_country)
     ap.add_argument("--rest-label", default=MarketRules.rest_label)
@@ -40,6 +44,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
         "--json-array", action="store_true",
         help="write each table's JSON as one array of objects instead of JSON Lines",
     )
+    ap.add_argument(
+        "--named-files", action="store_true",
+        help="write each table as <output>/<table>.csv and .json where it is one file",
+    )
     ap.add_argument(
         "--show", type=int, default=0, metavar="N",
         help="print the first N rows of every exported table (read back from its CSV)",
@@ -83,14 +91,15 @@ def main(argv: list[str] | None = None) -> int:
         root = args.output.rstrip("/")
         json_format = "array" if args.json_array else "lines"
         _titled("Exported tables")
-        export_typed_tables(spark, typed, root, params, json_format=json_format).show(len(EXPORTED_TABLES), truncate=False)
+        export_typed_tables(spark, typed, root, params, json_format=json_format, named_files=args.named_files).show(len(EXPORTED_TABLES), truncate=False)
     finally:
         discard(spark, paths)
     if args.show > 0:
         # Console sink over the small written tables: no recomputation.
         for name in EXPORTED_TABLES:
             _titled(name)
-            spark.read.option("header", "true").csv(f"{root}/{name}/csv").show(args.show, truncate=False)
+            folder = f"{root}/{name}.csv" if args.named_files else f"{root}/{name}/csv"
+            spark.read.option("header", "true").csv(folder).show(args.show, truncate=False)
     return 0
 
 

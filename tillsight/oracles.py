@@ -575,6 +575,18 @@ FROM typed"""
     # sinks: read-back equals the written table; the manifest counts all fifteen
     q["export_csv_roundtrip"] = q["country_performance"]
     q["export_json_roundtrip"] = q["top_customers"]
+    q["export_json_array_roundtrip"] = q["typed_sales"]
+    # scan of uneven lines: what a short line lacks is NULL, a surplus field is cut, both are counted
+    digit = "substring(StockCode, length(StockCode), 1)"
+    fields = f"CASE {digit} WHEN '3' THEN 7 WHEN '5' THEN 6 WHEN '7' THEN 9 END"
+    q["checked_source_scan"] = _with() + (
+        f"SELECT {', '.join(RAW_COLUMNS[:-2])}, CASE WHEN {digit} <> '5' THEN CustomerID END AS CustomerID, "
+        f"CASE WHEN {digit} NOT IN ('3', '5') THEN Country END AS Country, {fields} AS FieldCount FROM raw"
+    )
+    q["malformed_line_counts"] = _with() + (
+        f"SELECT {fields} AS FieldCount, count(*) AS Lines, count(DISTINCT InvoiceNo) AS Invoices "
+        f"FROM raw WHERE {digit} IN ('3', '5', '7') GROUP BY 1"
+    )
     q["export_all_tables"] = " UNION ALL ".join(
         f"SELECT '{name}' AS TableName, CAST(count(*) AS BIGINT) AS RowCount FROM ({q[name]})"
         for name in EXPORTED_TABLES

@@ -3,7 +3,8 @@
 ``SalesTables`` wires the operators together; every accessor returns a lazy
 DataFrame.  ``facts`` is what the time, customer and market tables group:
 the cleaned lines by default, or the exact invoice-grain rollup when a plan
-stages it once for many tables.
+stages it once for many tables.  ``dimensions``, if given, holds the month, weekday, hour, country
+and market measures of one shared aggregate (``rollup.dimension_rollup``); those tables are then read from it.
 
 The aggregates several tables are derived from (monthly, product, customer,
 RFM, country) are built once per instance; a multi-table plan can persist
@@ -24,6 +25,7 @@ from tillsight.operators import markets as N
 from tillsight.operators import presentation as V
 from tillsight.operators import products as R
 from tillsight.operators import trends as M
+from tillsight.plans.rollup import dimension
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,8 @@ SHARED_AGGREGATES = (
     "customer_rfm",
     "country_performance",
 )
+# Those of them that the shared dimension aggregate holds.
+OF_DIMENSIONS = ("monthly_sales_trend", "country_performance")
 
 
 class SalesTables:
@@ -77,11 +81,13 @@ class SalesTables:
         cleaned: DataFrame,
         params: Params | None = None,
         facts: DataFrame | None = None,
+        dimensions: DataFrame | None = None,
     ):
         self.typed = typed
         self.cleaned = cleaned
         self.params = params or Params()
         self.facts = cleaned if facts is None else facts
+        self.dimensions = dimensions
         self._shared: dict[str, DataFrame] = {}
 
     def _once(self, name: str, build) -> DataFrame:
@@ -91,11 +97,16 @@ class SalesTables:
 
     def persist_shared(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict[str, DataFrame]:
         """Persist the shared aggregates (in dependency order: RFM is derived
-        from the customer aggregate); the caller materializes and unpersists."""
-        for name in SHARED_AGGREGATES:
+        from the customer aggregate) but those read from ``dimensions``; the caller materializes and unpersists."""
+        names = [n for n in SHARED_AGGREGATES if self.dimensions is None or n not in OF_DIMENSIONS]
+        for name in names:
             getattr(self, name)()
             self._shared[name] = self._shared[name].persist(level)
-        return {name: self._shared[name] for name in SHARED_AGGREGATES}
+        return {name: self._shared[name] for name in names}
+
+    def _grouped(self, name: str, measures: tuple[str, ...], lines) -> DataFrame:
+        """A dimension's table from the shared aggregate, else from the ``lines`` it groups."""
+        return lines() if self.dimensions is None else dimension(self.dimensions, name, *measures)
 
     # KPIs and time
     def overall_kpis(self) -> DataFrame:
@@ -108,13 +119,16 @@ class SalesTables:
         return K.cancellation_kpis(self.typed)
 
     def monthly_sales_trend(self) -> DataFrame:
-        return self._once("monthly_sales_trend", lambda: M.monthly_sales_trend(self.facts))
+        return self._once("monthly_sales_trend", self._monthly)
+
+    def _monthly(self) -> DataFrame:
+        return self._grouped("month", M.MONTHLY_MEASURES, lambda: M.monthly_sales_trend(self.facts)).orderBy("YearMonth")
 
     def weekday_sales(self) -> DataFrame:
-        return M.weekday_sales(self.facts)
+        return self._grouped("weekday", M.WEEKDAY_MEASURES, lambda: M.weekday_sales(self.facts)).orderBy("DayOfWeekNumber")
 
     def hourly_sales(self) -> DataFrame:
-        return M.hourly_sales(self.facts)
+        return self._grouped("hour", M.HOURLY_MEASURES, lambda: M.hourly_sales(self.facts)).orderBy("Hour")
 
     def monthly_revenue_extremes(self) -> DataFrame:
         return M.monthly_revenue_extremes(self.monthly_sales_trend())
@@ -156,13 +170,20 @@ class SalesTables:
 
     # countries and markets
     def country_performance(self) -> DataFrame:
-        return self._once("country_performance", lambda: N.country_performance(self.facts))
+        return self._once("country_performance", self._countries)
+
+    def _countries(self) -> DataFrame:
+        if self.dimensions is None:
+            return N.country_performance(self.facts)
+        return N.in_country_order(dimension(self.dimensions, "country", *N.COUNTRY_MEASURES))
 
     def top_countries_by_revenue(self) -> DataFrame:
         return N.top_countries_by_revenue(self.country_performance(), self.params.top_n)
 
     def market_share_uk_vs_non_uk(self) -> DataFrame:
-        return N.market_share(self.facts, self.params.market)
+        if self.dimensions is None:
+            return N.market_share(self.facts, self.params.market)
+        return N.with_market_shares(dimension(self.dimensions, "market", *N.MARKET_MEASURES))
 
     def potential_growth_markets(self) -> DataFrame:
         return N.potential_growth_markets(self.country_performance(), self.params.market)

@@ -8,8 +8,10 @@ then collected every table to the driver to write files.  This plan:
    re-reading Parquet, not re-parsing text);
 2. stages the exact invoice-grain rollup once for the eleven time, customer
    and market tables, so they read a table smaller by the number of lines
-   per invoice, and persists the five aggregates that several tables share
-   (monthly, product, customer, RFM, country) so each is computed once;
+   per invoice; stages the month, weekday, hour, country and market measures of
+   one aggregate with grouping sets over it, so those five tables and what is
+   derived from them read the rollup once; and persists the aggregates that
+   several other tables share (product, customer, RFM) so each is computed once;
 3. writes each result table through the distributed CSV and JSON writers
    (result tables are bounded by dimension sizes or k, so each is one file).
    The tables are independent jobs, so a few are submitted concurrently from
@@ -29,18 +31,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from tillsight.functions.rounding import decimals_to_double
 from tillsight.operators.prepare import cleaned_sales, typed_sales
 from tillsight.plans.catalog import EXPORTED_TABLES, Params, SalesTables
-from tillsight.plans.rollup import invoice_rollup
+from tillsight.plans.rollup import dimension_rollup, invoice_rollup
 from tillsight.plans.scratch import discard, new_run_dir, stage
 from tillsight.sinks.files import (
+    CSV_WRITE_OPTIONS,
+    as_named_file,
     read_csv_table,
+    read_json_array,
     read_json_table,
     write_csv,
     write_json,
     write_json_array,
 )
-from tillsight.sources.delimited import read_invoice_lines
+from tillsight.sources.delimited import malformed_lines, read_checked_lines, read_invoice_lines
 from tillsight.sources.fixture import raw_invoice_lines
 
 
@@ -58,8 +64,11 @@ def tables_over_typed(
     """Tables over an already materialized typed table (staged, or written by
     the streaming ingest), with the invoice rollup staged once."""
     cleaned = cleaned_sales(typed)
-    facts = stage(spark, invoice_rollup(cleaned), "invoice-rollup", paths) if rollup else None
-    return SalesTables(typed, cleaned, params, facts)
+    if not rollup:
+        return SalesTables(typed, cleaned, params)
+    facts = stage(spark, invoice_rollup(cleaned), "invoice-rollup", paths)
+    dimensions = stage(spark, dimension_rollup(facts, params.market), "dimension-rollup", paths)
+    return SalesTables(typed, cleaned, params, facts, dimensions)
 
 
 EXPORT_THREADS = 8
@@ -68,17 +77,25 @@ EXPORT_THREADS = 8
 JSON_FORMATS = ("lines", "array")
 
 
-def _export_one(name: str, df: DataFrame, output_root: str, json_format: str = "lines"):
-    """One table: computed once (kept for its count and second format), written twice."""
+def _export_one(name: str, df: DataFrame, output_root: str, json_format: str = "lines", named_files: bool = False):
+    """One table: computed and counted once, written twice from what is kept of it."""
     result = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        csv_path = write_csv(result, f"{output_root}/{name}/csv", small=True)
+        rows = result.count()
+        csv_path = write_csv(result, f"{output_root}/{name}/csv", small=True, rows=rows)
         if json_format == "array":
-            write_json_array(result, f"{output_root}/{name}/json")
+            json_path = write_json_array(result, f"{output_root}/{name}/json", rows=rows)
         else:
-            write_json(result, f"{output_root}/{name}/json", small=True)
+            json_path = write_json(result, f"{output_root}/{name}/json", small=True, rows=rows)
     finally:
         result.unpersist()
+    if named_files:
+        spark = df.sparkSession
+        moved = [as_named_file(spark, folder, f"{output_root}/{name}.{kind}") for folder, kind in ((csv_path, "csv"), (json_path, "json"))]
+        if moved[0]:
+            csv_path = f"{output_root}/{name}.csv"
+        if all(moved):
+            discard(spark, [f"{output_root}/{name}"])
     return name, csv_path, result.schema
 
 
@@ -90,16 +107,18 @@ def export_all_tables(
     rollup: bool = True,
     threads: int = EXPORT_THREADS,
     json_format: str = "lines",
+    named_files: bool = False,
 ) -> DataFrame:
     """Write the fifteen result tables as CSV and JSON; return the manifest.
 
     ``json_format="array"`` writes each table as one JSON array of objects
-    (the original's file shape) instead of JSON Lines.
+    (the original's file shape) instead of JSON Lines.  ``named_files`` moves each table that is one
+    file to ``<output_root>/<table>.csv`` and ``.json``; larger ones stay folders.
     """
     paths: list[str] = []
     try:
         tables = staged_tables(spark, raw, params or Params(), rollup, paths)
-        return _export(spark, tables, output_root, threads, json_format)
+        return _export(spark, tables, output_root, threads, json_format, named_files)
     finally:
         discard(spark, paths)
 
@@ -112,18 +131,19 @@ def export_typed_tables(
     rollup: bool = True,
     threads: int = EXPORT_THREADS,
     json_format: str = "lines",
+    named_files: bool = False,
 ) -> DataFrame:
     """S8 over a materialized typed table, e.g. the streaming ingest's output."""
     paths: list[str] = []
     try:
         tables = tables_over_typed(spark, typed, params or Params(), rollup, paths)
-        return _export(spark, tables, output_root, threads, json_format)
+        return _export(spark, tables, output_root, threads, json_format, named_files)
     finally:
         discard(spark, paths)
 
 
 def _export(
-    spark: SparkSession, tables: SalesTables, output_root: str, threads: int, json_format: str
+    spark: SparkSession, tables: SalesTables, output_root: str, threads: int, json_format: str, named_files: bool = False
 ) -> DataFrame:
     if json_format not in JSON_FORMATS:
         raise ValueError(f"json_format must be one of {JSON_FORMATS}")
@@ -135,7 +155,7 @@ def _export(
             list(pool.map(lambda df: df.count(), [df for n, df in shared.items() if n != "customer_rfm"]))
             shared["customer_rfm"].count()
             futures = [
-                pool.submit(_export_one, name, df, output_root, json_format)
+                pool.submit(_export_one, name, df, output_root, json_format, named_files)
                 for name, df in tables.exported().items()
             ]
             written = [f.result() for f in futures]
@@ -153,20 +173,26 @@ def _export(
 def missing_tables(spark: SparkSession, output_root: str, names=EXPORTED_TABLES) -> list[str]:
     """The exported tables absent under ``output_root`` (the viewer's check).
 
-    A table is absent if its CSV folder is, or has no data file.  Folders are listed
+    A table is absent if neither its CSV folder nor its named file is there, or the folder has no data file.  Folders are listed
     (and a header read) per name; any other fault is an error of its own.
     """
     missing = []
     for name in names:
-        try:
-            spark.read.option("header", "true").csv(f"{output_root}/{name}/csv").schema
-        except AnalysisException as fault:
-            if fault.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        if not any(_has_data(spark, path) for path in (f"{output_root}/{name}/csv", f"{output_root}/{name}.csv")):
             missing.append(name)
     return missing
 
 
+def _has_data(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.option("header", "true").csv(path).schema
+    except AnalysisException as fault:
+        if fault.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
 # ------------------------------------------------------- registered queries
 def _fixture_params():
     from tillsight.plans.registry import FIXTURE_PARAMS
@@ -214,6 +240,45 @@ def export_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _roundtrip(spark, sf_dir, "top_customers", "json")
 
 
+def export_json_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 array form over every typed line: written as one JSON array and read back by line."""
+    from tillsight.plans.registry import fixture_tables
+
+    df = decimals_to_double(fixture_tables(spark, sf_dir).typed)
+    path = new_run_dir(spark, "export-json-array")
+    return read_json_array(spark, write_json_array(df, path), df.schema)
+
+
+def _uneven_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The raw lines written as ';' text, some of them one or two fields short or with a field too many."""
+    raw = raw_invoice_lines(spark, sf_dir)
+    line = lambda *columns: F.to_csv(F.struct(*columns), {**CSV_WRITE_OPTIONS, "sep": ";"})
+    by_stock = F.substring("StockCode", -1, 1)
+    text = (
+        F.when(by_stock == "3", line(*raw.columns[:-1]))
+        .when(by_stock == "5", line(*raw.columns[:-2]))
+        .when(by_stock == "7", line(*raw.columns, F.lit("surplus")))
+        .otherwise(line(*raw.columns))
+    )
+    path = new_run_dir(spark, "uneven-invoice-text")
+    # One field without quotes or separators of its own: the lines as they are, under the header.
+    as_is = {"header": "true", "sep": "\u0001", "quote": "\u0000", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    raw.select(text.alias(";".join(raw.columns))).write.options(**as_is).csv(path)
+    return path
+
+
+def checked_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with a record of malformed lines: every line of the uneven text, with how many fields it has
+    if that is not the declared number."""
+    return read_checked_lines(spark, _uneven_lines(spark, sf_dir)).drop("MalformedLine")
+
+
+def malformed_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected lines of the uneven text by their number of fields."""
+    lines = malformed_lines(read_checked_lines(spark, _uneven_lines(spark, sf_dir)))
+    return lines.groupBy("FieldCount").agg(F.count(F.lit(1)).alias("Lines"), F.count_distinct("InvoiceNo").alias("Invoices"))
+
+
 def export_all_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 over the test tables: manifest of the fifteen exported tables."""
     root = new_run_dir(spark, "export")

@@ -195,6 +195,9 @@ def registered_queries() -> dict[str, Query]:
         "clean_column_names": X.clean_column_names,
         "export_csv_roundtrip": X.export_csv_roundtrip,
         "export_json_roundtrip": X.export_json_roundtrip,
+        "export_json_array_roundtrip": X.export_json_array_roundtrip,
+        "checked_source_scan": X.checked_source_scan,
+        "malformed_line_counts": X.malformed_line_counts,
         "export_all_tables": X.export_all_tables_query,
         "export_all_values": X.export_all_values,
         "typed_sales": lambda s, d: decimals_to_double(_typed(s, d)),

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillsight.plans.scratch import discard, stage
+
 # ISO-8601 value serialisation.
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
@@ -47,51 +49,86 @@ JSON_OPTIONS = {
 ONE_FILE_ROWS = 100_000
 
 
-class TooManyRows(ValueError):
-    """A table that has no place in one file."""
-
-
-def _shaped(df: DataFrame, small: bool) -> DataFrame:
-    """``small`` asks for one file; a table over ``ONE_FILE_ROWS`` keeps its partitions."""
-    return df.coalesce(1) if small and df.count() <= ONE_FILE_ROWS else df
+def _shaped(df: DataFrame, small: bool, rows: int | None) -> DataFrame:
+    """``small`` asks for one file; a table over ``ONE_FILE_ROWS`` keeps its partitions.
+    Without ``rows``, its number of rows, the table is counted."""
+    if not small:
+        return df
+    return df.coalesce(1) if (df.count() if rows is None else rows) <= ONE_FILE_ROWS else df
 
 
-def write_csv(df: DataFrame, path: str, small: bool = False, **options: str) -> str:
+def write_csv(df: DataFrame, path: str, small: bool = False, rows: int | None = None, **options: str) -> str:
     """Header CSV directory at ``path`` (overwritten)."""
-    _shaped(df, small).write.mode("overwrite").options(**{**CSV_WRITE_OPTIONS, **options}).csv(path)
+    _shaped(df, small, rows).write.mode("overwrite").options(**{**CSV_WRITE_OPTIONS, **options}).csv(path)
     return path
 
 
-def write_json(df: DataFrame, path: str, small: bool = False, **options: str) -> str:
+def write_json(df: DataFrame, path: str, small: bool = False, rows: int | None = None, **options: str) -> str:
     """JSON Lines directory at ``path`` (one object per row, UTF-8)."""
-    _shaped(df, small).write.mode("overwrite").options(**{**JSON_OPTIONS, **options}).json(path)
+    _shaped(df, small, rows).write.mode("overwrite").options(**{**JSON_OPTIONS, **options}).json(path)
     return path
 
 
-def write_json_array(df: DataFrame, path: str, **options: str) -> str:
-    """S6, array form: one file with one JSON array of row objects, in the frame's order.
+def write_json_array(df: DataFrame, path: str, rows: int | None = None, **options: str) -> str:
+    """S6, array form: the part files of ``path``, one after the other by name, are one JSON array
+    of row objects in the frame's order; up to ``ONE_FILE_ROWS`` rows are one file.
 
-    One array is one file, so a table over ``ONE_FILE_ROWS`` is refused; JSON Lines has no
-    such limit.  Rows are written one by one, the brackets and commas around
-    them by their position in the single partition.
+    Every line is one object, with the bracket or comma that its place in the whole array asks
+    for.  A larger table is written once as numbered objects, whose numbers ascend over the frame's
+    partitions; the smallest and largest of them get the brackets, and a range
+    partition by number writes the parts.  Nothing is gathered in one task or on the driver.
     """
-    rows = df.count()
-    if rows > ONE_FILE_ROWS:
-        raise TooManyRows(f"{rows} rows for one JSON array; write JSON Lines instead")
+    spark = df.sparkSession
     settings = {**JSON_OPTIONS, "ignoreNullFields": "false", **options}
-    if not rows:
-        text = df.sparkSession.sql("SELECT '[]' AS value")
-    else:
-        numbered = df.coalesce(1).select(F.monotonically_increasing_id().alias("_at"), F.to_json(F.struct(*df.columns), settings).alias("_row"))
-        before = F.when(F.col("_at") == 0, "[").otherwise(",")
-        text = numbered.select(F.concat(before, "_row", F.when(F.col("_at") == rows - 1, "]").otherwise("")).alias("value"))
-    text.write.mode("overwrite").text(path)
+    rows = df.count() if rows is None else rows
+    numbered = lambda table: table.select(
+        F.monotonically_increasing_id().alias("_at"), F.to_json(F.struct(*table.columns), settings).alias("_row")
+    )
+    paths: list[str] = []
+    try:
+        if not rows:
+            text = spark.sql("SELECT '[]' AS value")
+        elif rows <= ONE_FILE_ROWS:
+            text = _in_brackets(numbered(df.coalesce(1)), 0, rows - 1)
+        else:
+            objects = stage(spark, numbered(df), "json-array", paths)
+            first, last = objects.agg(F.min("_at"), F.max("_at")).collect()[0]
+            parts = objects.repartitionByRange(-(-rows // ONE_FILE_ROWS), "_at").sortWithinPartitions("_at")
+            text = _in_brackets(parts, first, last)
+        text.write.mode("overwrite").text(path)
+    finally:
+        discard(spark, paths)
     return path
 
 
+def _in_brackets(objects: DataFrame, first: int, last: int) -> DataFrame:
+    before = F.when(F.col("_at") == first, "[").otherwise(",")
+    after = F.when(F.col("_at") == last, "]").otherwise("")
+    return objects.select(F.concat(before, "_row", after).alias("value"))
+
+
 def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read back a ``write_json_array`` file (a top-level JSON array)."""
-    return spark.read.schema(schema).options(**JSON_OPTIONS, multiLine="true", mode="FAILFAST").json(path)
+    """Read back what ``write_json_array`` wrote, line by line in parallel: what stands around an
+    object is its bracket or comma before, and a bracket after the last one."""
+    line = F.col("value")
+    bare = F.when(F.endswith(line, F.lit("}]")), F.expr("substring(value, 2, length(value) - 2)")).otherwise(F.expr("substring(value, 2)"))
+    objects = spark.read.text(path).filter(line != "[]").select(bare.alias("_row"))
+    return objects.select(F.from_json("_row", schema, {**JSON_OPTIONS, "mode": "FAILFAST"}).alias("_row")).select("_row.*")
+
+
+def as_named_file(spark: SparkSession, folder: str, target: str) -> bool:
+    """Move the only part file of ``folder`` to ``target`` (replaced) and drop the folder;
+    False, with the folder left alone, if it has several."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    at, to = fs_path(folder), fs_path(target)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        return False
+    fs.delete(to, True)
+    fs.rename(parts[0], to)
+    fs.delete(at, True)
+    return True
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
