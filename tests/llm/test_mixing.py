@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import struct
 from collections import defaultdict
 
@@ -141,9 +142,92 @@ def test_margins_and_sample(spark):
             expected[r[margin]] += r["__tokens"] * r["__p"]
             drawn[r[margin]] += r["__tokens"] * r["__sampled"]
         assert np.isclose(sum(drawn.values()), kept * total, rtol=0.15)
-        tempered = {v: n**mixing.TEMPER for v, n in have.items()}
-        for v, n in tempered.items():  # the target shares, but for cells taken whole
-            assert np.isclose(expected[v] / (mixing.FRACTION * total), n / sum(tempered.values()), rtol=0.2 if trimmed else 0.01)
+        target = plain_targets(have, mixing.FRACTION * total)
+        assert all(np.isclose(expected[v], n, rtol=0.2 if trimmed else 0.01) for v, n in target.items())
+
+
+def plain_topic(text, tokens):
+    size = len(text.encode())
+    if not tokens:
+        return "empty"
+    length = "short" if size < 600 else "medium" if size < 4000 else "long"
+    layout = "lines" if text.count("\n") * 12 >= tokens else "prose"
+    return f"{length} {layout} {'terse' if size < 5 * tokens else 'plain' if size < 9 * tokens else 'dense'}"
+
+
+def plain_mixture(rows):
+    """(topic, tokens, probability, sampled) of (doc_id, text, lang, source) rows, by dense fitting."""
+    words = [len(re.findall(r"[^ \t\n\r\x0b\x0c]+", (t or "").strip(" \t\n\r"))) for _, t, _, _ in rows]
+    topics = [plain_topic(t or "", n) for (_, t, _, _), n in zip(rows, words, strict=True)]
+    keys = [(s, la, topic) for (_, _, la, s), topic in zip(rows, topics, strict=True)]
+    tokens = defaultdict(float)
+    for key, n in zip(keys, words, strict=True):
+        tokens[key] += n
+    total, most = sum(tokens.values()), 1 / mixing.FRACTION
+    targets = []
+    for axis in range(3):
+        have = defaultdict(float)
+        for key, n in tokens.items():
+            have[key[axis]] += n
+        targets.append({v: n / mixing.FRACTION for v, n in plain_targets({v: n for v, n in have.items() if n}, mixing.FRACTION * total).items()})
+    w = dict.fromkeys(tokens, 1.0)
+    for _ in range(mixing.MAX_ROUNDS):
+        before = dict(w)
+        for axis in range(3):
+            now = defaultdict(float)
+            for key, n in tokens.items():
+                now[key[axis]] += n * w[key]
+            w = {key: min(most, x * targets[axis][key[axis]] / now[key[axis]]) if now[key[axis]] > 0 else x for key, x in w.items()}
+        if max(abs(w[k] - b) / max(b, 1e-12) for k, b in before.items()) <= mixing.TOLERANCE:
+            break
+    seed = _int(mixing.SEED, 42)
+    out = []
+    for (i, text, _, _), key, n, topic in zip(rows, keys, words, topics, strict=True):
+        p = min(1.0, mixing.FRACTION * w[key])
+        h = _long(i, seed) if i is not None else seed
+        if text is not None:
+            h = int(np.uint64(xxhash.xxh64_intdigest(text.encode(), seed=int(np.uint64(np.int64(h))))).astype(np.int64))
+        out.append((topic, n, p, (h & (1 << 64) - 1) >> 11, i))
+    return out
+
+
+def test_query_against_brute_force(spark):
+    path = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
+    got = {r.doc_id: r for r in queries.op3_mixing(spark, path).collect()}
+    assert len(got) == len(rows)
+    for topic, n, p, h, i in plain_mixture(rows):
+        r = got[i]
+        assert (r.topic, r.tokens) == (topic, n)
+        assert np.isclose(r.probability, p, rtol=1e-6)
+        assert abs(h / 2**53 - p) < 1e-5 or r.sampled == (h / 2**53 < p)
+
+
+def joins(spark, margins):
+    """Joins and longest plan over all jobs of a fitting with so many margins."""
+    seen = []
+    rows = [(*(f"v{(i // 2**m) % 3}" for m in range(4)), float(i)) for i in range(40)]
+    names = [f"m{m}" for m in range(margins)]
+    cells = spark.createDataFrame([(*r[:margins], r[4]) for r in rows], ", ".join(f"__{m} string" for m in names) + ", __tokens double")
+    targets = {m: mixing.tempered_targets(cells, m, 0.7) for m in names}
+    plain_stage = mixing.stage
+
+    def counted(spark, df, purpose, paths):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+        return plain_stage(spark, df, purpose, paths)
+
+    mixing.stage = counted
+    try:
+        mixing.rake(cells, targets, tolerance=0.0, max_rounds=3)
+    finally:
+        mixing.stage = plain_stage
+    return seen
+
+
+def test_plans_grow_linearly(spark):
+    """One join with all targets each, then one join a step, whatever the round."""
+    for margins in (1, 2, 3, 4):
+        assert joins(spark, margins) == [margins] + [1] * margins * 3
 
 
 def test_sampling_follows_the_hash(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.llm.common import staged, unit_hash
+from tillsight.plans.scratch import discard, stage
 
 MARGINS = ("source", "lang", "topic")
 FRACTION = 0.5
@@ -34,17 +35,15 @@ def token_count(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.regexp_count(trimmed, F.lit(r"\s+")) + 1).cast("long")
 
 
-def topic_of(text: Column) -> Column:
-    """A stand-in for a topic where a table has none: the layout of the text, else its length
-    in UTF-8 bytes."""
-    return (
-        F.when(text.contains(" | "), "table")
-        .when(text.contains("### ") | text.contains("%%% "), "symbols")
-        .when(text.contains("!! "), "shouted")
-        .when(F.octet_length(text) < 600, "short")
-        .when(F.octet_length(text) < 4000, "article")
-        .otherwise("long")
-    )
+def topic_of(text: Column, tokens: Column) -> Column:
+    """A stand-in for a topic where a table has none, from measures that any text has: its length in UTF-8
+    bytes, how many words a line has, and how many bytes a word."""
+    size = F.octet_length(text)
+    breaks = size - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    length = F.when(size < 600, "short").when(size < 4000, "medium").otherwise("long")
+    layout = F.when(breaks * 12 >= tokens, "lines").otherwise("prose")
+    wording = F.when(size < tokens * 5, "terse").when(size < tokens * 9, "plain").otherwise("dense")
+    return F.when(tokens == 0, "empty").otherwise(F.concat_ws(" ", length, layout, wording))
 
 
 def value_of(name: str) -> Column:
@@ -86,29 +85,36 @@ def rake(
     its tokens at that weight.  A value without a target gets weight 0.  Rounds end
     when no weight moves by over ``tolerance`` of itself, or after ``max_rounds`` (margins
     that contradict each other)."""
-    state = cells.withColumn("__w", F.lit(min(1.0, most)))
+    spark = cells.sparkSession
     total = cells.agg(F.sum("__tokens")).collect()[0][0] or 0.0
-    scaled = {}
+    state = cells.withColumn("__w", F.lit(min(1.0, most))).withColumn("__before", F.col("__w"))
     for margin, target in targets.items():
         present = cells.groupBy(F.col(f"__{margin}").alias("__m")).agg((F.sum("__tokens") * F.lit(most)).alias("__most"))
         if most == float("inf"):  # also for values without tokens
             present = present.withColumn("__most", F.lit(most))
-        scaled[margin] = within_reach(staged(present.join(target, "__m"), "mixing-targets"), total)
+        reached = within_reach(staged(present.join(target, "__m"), "mixing-targets"), total)
+        state = state.join(reached.select(F.col("__m").alias(f"__{margin}"), F.col("__target").alias(f"__target_{margin}")), f"__{margin}", "left")
+    # Each step is written before the next one reads it twice, so plans do not grow with margins or rounds.
+    paths: list[str] = []
+    state = stage(spark, state, "mixing-step", paths)
     for _ in range(max_rounds):
-        now = state.withColumn("__before", F.col("__w"))
-        for margin, target in scaled.items():
-            key = f"__{margin}"
-            sums = now.groupBy(key).agg(F.sum(F.col("__tokens") * F.col("__w")).alias("__now"))
-            factor = sums.join(target.withColumnRenamed("__m", key), key).select(
-                key, F.when(F.col("__now") > 0, F.col("__target") / F.col("__now")).otherwise(1.0).alias("__factor")
-            )
-            now = now.join(factor, key, "left").withColumn("__w", F.least(F.lit(most), F.col("__w") * F.coalesce("__factor", F.lit(0.0)))).drop("__factor")
-        now = staged(now, "mixing-round")
-        moved = now.agg(F.max(F.abs(F.col("__w") - F.col("__before")) / F.greatest("__before", F.lit(1e-12)))).collect()[0][0]
-        state = now.drop("__before")
+        state = state.withColumn("__before", F.col("__w"))
+        for margin in targets:
+            state = stage(spark, fitted(state, margin, most), "mixing-step", paths)
+            discard(spark, paths[:-1])
+            del paths[:-1]
+        moved = state.agg(F.max(F.abs(F.col("__w") - F.col("__before")) / F.greatest("__before", F.lit(1e-12)))).collect()[0][0]
         if (moved or 0.0) <= tolerance:
             break
-    return state
+    return state.select(*cells.columns, "__w")
+
+
+def fitted(state: DataFrame, margin: str, most: float) -> DataFrame:
+    """``state`` with the weights of each value of a margin scaled to its target, none over ``most``."""
+    key, target = f"__{margin}", F.col(f"__target_{margin}")
+    sums = state.groupBy(key).agg(F.sum(F.col("__tokens") * F.col("__w")).alias("__now"))
+    factor = F.when(target.isNull(), 0.0).when(F.col("__now") > 0, target / F.col("__now")).otherwise(1.0)
+    return state.join(sums, key).withColumn("__w", F.least(F.lit(most), F.col("__w") * factor)).drop("__now").select(*state.columns)
 
 
 def calibrated(cells: DataFrame, fraction: float) -> DataFrame:
@@ -128,12 +134,12 @@ def mixed(
     probability of their cell.  Rows equal in id and text share their fate.  An empty table
     gives no rows.
     """
+    docs = docs.withColumn("__tokens", token_count(F.col(text_col)))
     if "topic" in margins and "topic" not in docs.columns:
-        docs = docs.withColumn("__topic_of", topic_of(F.coalesce(F.col(text_col), F.lit(""))))
+        docs = docs.withColumn("__topic_of", topic_of(F.coalesce(F.col(text_col), F.lit("")), F.col("__tokens")))
         margins = tuple("__topic_of" if m == "topic" else m for m in margins)
         targets = {("__topic_of" if m == "topic" else m): t for m, t in (targets or {}).items()}
-    thin = docs.select(*margins, token_count(F.col(text_col)).alias("__n"))
-    cells = cell_table(thin, margins, "__n")
+    cells = cell_table(docs, margins, "__tokens")
     wanted = {m: (targets or {}).get(m) for m in margins}
     wanted = {m: tempered_targets(cells, m, temper) if t is None else t for m, t in wanted.items()}
     cells = calibrated(rake(cells, wanted, most=1 / fraction), fraction)
@@ -142,7 +148,7 @@ def mixed(
     with_keys = docs.select("*", *(value_of(m).alias(f"__{m}") for m in margins))
     chance = unit_hash(F.col(id_col), F.col(text_col), seed=seed)
     out = with_keys.join(probability, keys).withColumn("__sampled", chance < F.col("__p"))
-    out = out.withColumn("__tokens", token_count(F.col(text_col))).drop(*keys)
+    out = out.drop(*keys)
     return out.withColumnRenamed("__topic_of", "topic") if "__topic_of" in out.columns else out
 
 
