@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -52,6 +53,34 @@ def test_edges(spark):
     assert lines.drop_boilerplate_lines(docs_frame(spark, rows).limit(0)).count() == 0
 
 
+def test_texts_of_many_lines(spark):
+    """20,000 lines each, half of them boilerplate: work grows with the lines, not with lines times marks."""
+
+    def seconds(n):
+        shared = [f"shared line {i}" for i in range(n // 2)]
+        rows = [(i, "\n".join([x for j, s in enumerate(shared) for x in (s, f"own {i} {j}")]), "en", f"site{i}") for i in range(6)]
+        rows += [(100 + i, shared[7] + "\nrest " + str(i), "en", f"other{i}") for i in range(3)]
+        frame = docs_frame(spark, rows)
+        start = time.perf_counter()
+        out = lines.drop_boilerplate_lines(frame).collect()
+        took = time.perf_counter() - start
+        assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.text) for r in out), key=lambda x: x[0]) == plain(rows, 5)
+        return took
+
+    small = seconds(2_500)
+    assert seconds(20_000) < 8 * small + 2
+
+
+def test_unmarked_texts_are_not_shuffled(spark):
+    rows = [(i, f"line {i}\nmore", "en", f"s{i}") for i in range(50)] + [(90 + i, f"© all\nown {i}", "en", f"s{i}") for i in range(9)]
+    docs = docs_frame(spark, rows)
+    hashed = lines.hashed_lines(docs.filter("doc_id >= 90"), "doc_id", "text", "source")
+    marks = lines.marked_texts(hashed, lines.boilerplate_lines(hashed, 5, lines.LG_K))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), F.lit("clash").alias("marks"))
+    got = {r.doc_id: r["__maybe"] for r in lines.may_be_marked(keyed, marks, "key").collect()}
+    assert got == {i: i >= 90 for i, *_ in rows}
+
+
 def test_query_matches_sql(spark):
     sf = "/root/testdata/sf0.01"
     result = compare(spark, duck(sf), "op1", queries.op1_line_dedup, LINE_DEDUP, sf)
