@@ -4,11 +4,11 @@ Encoding.  A sequence of tokens is what the merges make of its bytes exactly if
 are what they make of those two tokens' bytes.  That is a finite-state transducer over bytes: it has
 written some tokens, stands at a node of the trie of all tokens with the bytes since, and may
 end a token where the node is one and fits the token before it.  The encoding of every
-prefix is unique, so few such hypotheses live at a time.  The transducer is determinised
-as texts need it: a state is the set of live hypotheses, each with the tokens that not all of them
-share yet; those they share are written at once, so output follows after a bounded
-lookahead (a hypothesis lives no longer than the longest token).  States beyond a fixed number are
-forgotten and made anew.
+prefix is unique, so one hypothesis at most lives for each start of the token to come.  The transducer
+is determinised as texts need it: a state is the set of live hypotheses (trie node and token before), and
+each step tells which token ends the encoding up to there.  Tokens are written once all live hypotheses share
+them: no hypothesis lives longer than the longest token, so the lookahead is bounded.  States beyond a
+fixed number are forgotten and made anew.
 
 Decoding.  Token ids are turned into bytes in chunks of bounded size; an incremental UTF-8 state machine holds
 back the bytes of a character that a chunk leaves open.
@@ -31,14 +31,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.llm.common import with_package
+from tillsight.llm.common import groups_of, with_package
 
 #: States kept at a time, and pieces of a text whose tokens are remembered (of up to so many characters).
-MAX_STATES = 150_000
-MAX_PIECES = 200_000
+MAX_STATES = 200_000
+MAX_PIECES = 600_000
 PIECE_CHARS = 32
+#: Pairs of tokens whose fitting is remembered.
+MAX_PAIRS = 400_000
+#: Bytes of a piece after which tokens that are certain are written.
+WINDOW = 1024
 #: Tokens decoded at a time.
 CHUNK = 1 << 16
+#: Bytes of the texts that a task encodes before it hands them on.
+SLICE = 1 << 21
 #: Texts of more characters are split without a list of all their pieces.
 LONG_TEXT = 1 << 20
 _ROOT = 0
@@ -101,8 +107,9 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES) -> None:
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.length = {rank: len(token) for token, rank in ranks.items()}
         self.arcs: list[dict[int, int]] = [{}]  # of the trie of all tokens
-        self.token_at = [-1]
+        self.token_at, self.depth = [-1], [0]
         for token, rank in ranks.items():
             node = _ROOT
             for b in token:
@@ -111,22 +118,21 @@ class Transducer:
                     to = self.arcs[node][b] = len(self.arcs)
                     self.arcs.append({})
                     self.token_at.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = to
             self.token_at[node] = rank
-        self.fitting: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.histories: dict[int, History] = {}
-        #: Most tokens that a state held back so far.
-        self.longest_wait = 0
         self._forget()
 
     def _forget(self) -> None:
-        #: A hypothesis: tokens not written yet, the token before the trie node (-1: none), the node.
+        #: A state: live hypotheses (trie node, token before or -1) from the earliest start on; the last one has just ended a token.
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.start = self._number((((), -1, _ROOT),))
+        self.moves: list[dict[int, tuple[int, int]]] = []
+        self.start = self.number(START)
 
-    def _number(self, state: tuple) -> int:
+    def number(self, state: tuple) -> int:
         number = self.numbers.get(state)
         if number is None:
             number = self.numbers[state] = len(self.states)
@@ -163,66 +169,106 @@ class Transducer:
 
     def fits(self, before: int, token: int) -> bool:
         """Whether the merges leave ``token`` after ``before`` (-1: at the start) as they are."""
-        known = self.fitting.get((before, token))
+        if before < 0:
+            return self.history(token).reached
+        known = self.pairs.get((before, token))
         if known is None:
-            if len(self.fitting) > 8 * self.max_states:
-                self.fitting.clear()
-            known = self.fitting[before, token] = self.history(token).reached if before < 0 else self.stay_apart(before, token)
+            if len(self.pairs) >= MAX_PAIRS:
+                self.pairs.clear()
+            known = self.pairs[before, token] = self.stay_apart(before, token)
         return known
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The next state and what is written on the way; kept for the next time."""
-        arcs, token_at, fitting = self.arcs, self.token_at, self.fitting
-        live, ended = [], None  # in the order of their last tokens' starts; one at most has just ended a token
-        for waiting, before, node in self.states[state]:
+    def move(self, state: int, byte: int) -> tuple[int, int]:
+        """The next state, and the token that ends the encoding of all bytes so far; kept for the next time."""
+        arcs, token_at = self.arcs, self.token_at
+        live, ended = [], -1
+        for node, before in self.states[state]:
             to = arcs[node].get(byte)
             if to is None:
                 continue
             if arcs[to]:
-                live.append((waiting, before, to))
+                live.append((to, before))
             token = token_at[to]
-            if token >= 0 and ended is None:
-                fits = fitting.get((before, token))
-                if self.fits(before, token) if fits is None else fits:
-                    ended = ((*waiting, token), token, _ROOT)
-        live.append(ended)
-        written = ()
-        while len(live[0][0]) > len(written):  # what all hypotheses have written
-            longer = live[0][0][: len(written) + 1]
-            if any(w[: len(longer)] != longer for w, _, _ in live):
-                break
-            written = longer
-        if written:
-            live = [(w[len(written) :], before, node) for w, before, node in live]
-        after = tuple(live)
-        self.longest_wait = max(self.longest_wait, len(after[0][0]), len(after[-1][0]))
+            if token >= 0 and ended < 0 and self.fits(before, token):
+                ended = token
+        live.append((_ROOT, ended))
         if len(self.states) >= self.max_states:
             self._forget()
-            return self._number(after), written
-        move = self.moves[state][byte] = (self._number(after), written)
+            return self.number(tuple(live)), ended
+        move = self.moves[state][byte] = (self.number(tuple(live)), ended)
         return move
 
-    def feed(self, state: int, data: bytes, out: list[int]) -> int:
-        """The state after more bytes of a piece; tokens that are certain go to ``out``."""
+    def run(self, state: int, data: bytes, ends: list[int]) -> int:
+        """The state after more bytes; ``ends`` gets the token that ends the encoding at each of them."""
+        moves = self.moves
         for byte in data:
-            state, written = self.moves[state].get(byte) or self._move(state, byte)
-            if written:
-                out.extend(written)
+            move = moves[state].get(byte)
+            if move is None:
+                move = self.move(state, byte)
+                moves = self.moves
+            state, ended = move
+            ends.append(ended)
         return state
 
-    def finish(self, state: int, out: list[int]) -> None:
-        """What is still open at the end of a piece: the hypothesis whose last token is ended."""
-        for waiting, _, node in self.states[state]:
-            if node == _ROOT:
-                out.extend(waiting)
-                return
+    def written(self, ends: list[int], upto: int) -> list[int]:
+        """The tokens of the first ``upto`` bytes, from the last one back."""
+        out = []
+        while upto:
+            token = ends[upto - 1]
+            out.append(token)
+            upto -= self.length[token]
+        return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is a token is that token, whatever the merges make of it
             return [whole]
+        if len(piece) > WINDOW:
+            stream = Stream(self)
+            return stream.feed(piece) + stream.finish()
+        ends: list[int] = []
+        self.run(self.start, piece, ends)
+        return self.written(ends, len(ends))
+
+
+#: Nothing read yet.
+START = ((_ROOT, -1),)
+
+
+class Stream:
+    """A piece in any cuts; tokens come out as soon as no hypothesis differs in them."""
+
+    def __init__(self, transducer: Transducer) -> None:
+        self.transducer, self.state, self.ends = transducer, START, []
+        #: Most bytes that were held back.
+        self.longest_wait = 0
+
+    def feed(self, data: bytes) -> list[int]:
         out: list[int] = []
-        self.finish(self.feed(self.start, piece, out), out)
+        for at in range(0, len(data), WINDOW):
+            number = self.transducer.run(self.transducer.number(self.state), data[at : at + WINDOW], self.ends)
+            self.state = self.transducer.states[number]  # numbers may change while others are read
+            out += self._settled()
+        return out
+
+    def _settled(self) -> list[int]:
+        """Tokens up to the last place where the encodings that live hypotheses go on from all end a token."""
+        common: set[int] | None = None
+        for node, _ in self.state:
+            at, places = len(self.ends) - self.transducer.depth[node], set()
+            while at:
+                places.add(at)
+                at -= self.transducer.length[self.ends[at - 1]]
+            common = places if common is None else common & places
+        upto = max(common or (), default=0)
+        out = self.transducer.written(self.ends, upto)
+        del self.ends[:upto]
+        self.longest_wait = max(self.longest_wait, len(self.ends))
+        return out
+
+    def finish(self) -> list[int]:
+        out = self.transducer.written(self.ends, len(self.ends))
+        self.state, self.ends = START, []
         return out
 
 
@@ -310,6 +356,12 @@ class Decoder:
     def __init__(self, rank_file: bytes) -> None:
         self.bytes_of = {rank: token for token, rank in ranks_of(rank_file).items()}
 
+    @classmethod
+    def of(cls, bytes_of: dict[int, bytes]) -> Decoder:
+        made = cls.__new__(cls)
+        made.bytes_of = bytes_of
+        return made
+
     def stream(self, chunks: Iterable[bytes]) -> Iterator[str]:
         """Text as it becomes certain, from packed ids in chunks of whole ids."""
         machine = Utf8Stream()
@@ -379,9 +431,31 @@ def n_tokens(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
 
 
-def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: tuple[bytes, str] | None = None) -> DataFrame:
-    """``id_col``, ``ids`` (packed) and ``n_tokens`` of every row.  Rows are encoded one by one: null or repeated
-    ids, repeated rows and other columns change nothing; a null or empty text has no tokens; an
-    empty table gives no rows."""
-    coded = docs.select(F.col(id_col), encode_column(docs.sparkSession, F.col(text_col), vocabulary).alias("ids"))
+def encode_texts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: tuple[bytes, str] | None = None, decode: bool = False
+) -> DataFrame:
+    """``id_col``, ``ids`` (packed) and ``n_tokens`` of every row; with ``decode`` also ``decoded``, the text that the ids
+    give back.  Rows are encoded one by one, in slices of bounded size: null or repeated ids, repeated
+    rows and other columns change nothing; a null or empty text has no tokens; an empty table gives no rows."""
+    spark = with_package(docs.sparkSession)
+    shared = spark.sparkContext.broadcast(vocabulary or default_vocabulary())
+    kind = T.StructType([docs.schema[id_col], T.StructField("ids", T.BinaryType())])
+    if decode:
+        kind = kind.add("decoded", T.StringType())
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _in_worker(Encoder, *shared.value)
+        decoder = Decoder.of(encoder.transducer.bytes_of)
+        for batch in batches:
+            at = 0
+            for some in groups_of(batch.column(1), SLICE):
+                with _uncollected():
+                    ids = [encoder.encode(t.as_py() or "") for t in some]
+                    columns = [batch.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())]
+                    if decode:
+                        columns.append(pa.array([decoder.decode(i) for i in ids], pa.string()))
+                at += len(ids)
+                yield pa.RecordBatch.from_arrays(columns, names=kind.names)
+
+    coded = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(encode, kind)
     return coded.withColumn("n_tokens", n_tokens(F.col("ids")))
