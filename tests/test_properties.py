@@ -94,3 +94,24 @@ def test_half_up_div_is_exact(spark, triples):
                 continue
             expected = (Decimal(p) / Decimal(q)).quantize(Decimal(1).scaleb(-scale), rounding=ROUND_HALF_UP)
             assert r == expected, (p, q, scale, r, expected)
+
+
+def test_line_revenue_against_decimals(spark):
+    """Whole-unit, decimal and double prices alike: the exact product, rounded HALF_UP to cents."""
+    from decimal import ROUND_HALF_UP, Decimal
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tillsight.functions.rounding import line_revenue
+
+    rng = random.Random(19)
+    texts = ["0", "0.005", "0.0001", "1.005", "199999.9999", "200000", "200000.0001", "0.00005", "123456789.99", "1234567.123456789", "0.1", "2.675", "-1.005", "1e-10"]
+    texts += [f"{rng.randrange(0, 10 ** rng.randrange(1, 9)) / 10 ** rng.randrange(0, 8):.10f}".rstrip("0") + "0" for _ in range(600)]
+    rows = [(q, float(t), t) for t in texts for q in (1, -1, 3, 2147483647, -2147483648, rng.randrange(1, 500))]
+    got = spark.createDataFrame(rows, "q int, p double, t string").select("q", "t", line_revenue(F.col("q"), F.col("p")).alias("r")).collect()
+    for r in got:
+        assert r.r == (Decimal(repr(float(r.t))) * r.q).quantize(Decimal("0.01"), ROUND_HALF_UP), r
+    odd = [(None, 1.0), (2, None), (2, float("nan")), (2, float("inf")), (0, 1.5), (2, 1e300)]
+    plain = spark.createDataFrame(odd, "q int, p double").select(line_revenue(F.col("q"), F.col("p")).alias("r")).collect()
+    assert [r.r for r in plain] == [None, None, None, None, Decimal("0.00"), None]

@@ -13,6 +13,8 @@ for integer-valued ``p`` and ``q > 0``.  A zero divisor gives NULL (the legacy
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
@@ -26,17 +28,32 @@ EXACT_PRICE = DecimalType(27, 10)
 REVENUE = DecimalType(31, 2)
 
 
+# Prices of up to four decimals below this times any int quantity fit a long, in units of 1/10,000.
+FINE_UNITS = 10_000
+SMALL_PRICE = 200_000
+
+
 def line_revenue(quantity: Column, unit_price: Column) -> Column:
     """Revenue of one line, rounded HALF_UP to cents.
 
     A price that a decimal(27,10) holds (its shortest decimal form, so what
     the text said) is multiplied exactly.  Any other finite price, with more decimals or
     larger, is multiplied as a double, as the original job did.
+
+    Nearly all prices are whole numbers of 1/10,000: such a double is told by a correctly rounded
+    division giving it back, and is multiplied in whole numbers.  Only others are made decimals, which
+    goes through their text.
     """
     exact = unit_price.try_cast(EXACT_PRICE)
+    price = unit_price.cast(DoubleType())
     by_decimal = F.round(quantity * exact, 2).cast(REVENUE)
-    by_double = F.round(quantity * unit_price.cast(DoubleType()), 2).try_cast(REVENUE)
-    return F.when(exact.cast(DoubleType()) == unit_price.cast(DoubleType()), by_decimal).otherwise(by_double)
+    by_double = F.round(quantity * price, 2).try_cast(REVENUE)
+    fine = F.rint(price * F.lit(float(FINE_UNITS)))
+    is_fine = (F.abs(price) < F.lit(float(SMALL_PRICE))) & (fine / F.lit(float(FINE_UNITS)) == price)
+    product = quantity.cast("bigint") * fine.cast("bigint")
+    cents = F.call_function("div", F.abs(product) + F.lit(FINE_UNITS // CENTS // 2), F.lit(FINE_UNITS // CENTS))
+    by_units = (F.when(product < 0, -cents).otherwise(cents).cast(DecimalType(20, 0)) * F.lit(Decimal("0.01"))).cast(REVENUE)
+    return F.when(is_fine, by_units).when(exact.cast(DoubleType()) == price, by_decimal).otherwise(by_double)
 
 
 def money_sum(c: Column | str) -> Column:
