@@ -182,17 +182,20 @@ def test_staged_tables_prune_and_push_down(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
         products = tables.top_products_by_revenue()._jdf.queryExecution().executedPlan().toString()
+        customers = tables.customer_performance()._jdf.queryExecution().executedPlan().toString()
         monthly = tables.monthly_sales_trend()._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     scan = next(l for l in products.splitlines() if "FileScan parquet" in l)
     assert "GreaterThan(Quantity,0)" in scan and "IsNotNull(IsCancelled)" in scan
     assert "Country" not in scan.split("ReadSchema")[1]
-    scan = next(l for l in monthly.splitlines() if "FileScan parquet" in l)
+    scan = next(l for l in customers.splitlines() if "FileScan parquet" in l)
     assert "invoice-rollup" in scan
     assert scan.split("ReadSchema: ")[1].startswith(
-        "struct<InvoiceNo:string,Revenue:decimal(38,2),Quantity:bigint,YearMonth:string>"
+        "struct<InvoiceNo:string,CustomerID:string,Revenue:decimal(38,2),Quantity:bigint,InvoiceDateOnly:date>"
     )
+    scan = next(l for l in monthly.splitlines() if "FileScan parquet" in l)
+    assert "dimension-rollup" in scan and "EqualTo(Dimension,31)" in scan
 
 
 def test_month_extremes_read_the_months_once(spark):
