@@ -13,12 +13,16 @@ lists of the other terms, rarer ones first.  What survives all lists is an exact
 match; what has every term within ``slop`` positions of the rarest one, in any order, is
 a proximity match.
 
-Words are compared by 64-bit hashes.  The benchmark is passed to the tasks in blocks of
-at most ``BLOCK_WORDS`` words (one benchmark item at least), one broadcast each.
+Words are compared by 64-bit hashes.  The benchmark is a table like any other: tasks pack its
+items into stored blocks of at most ``BLOCK_WORDS`` words (one item at least), with their windows
+and terms; one pass over the index counts the terms of all blocks.  The driver hands one packed block after
+the other to the tasks, and what they find is added to one stored table, so neither plans nor
+the driver's memory grow with the benchmark.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight.llm.common import ROW_ID, hash_words, ranges, staged, text_buffers, with_package, with_row_ids, word_spans
+from tillsight.llm.pii import _bit_set, _slots
+from tillsight.plans.scratch import new_run_dir
 
 WINDOW = 10
 SLOP = 20
@@ -110,19 +116,31 @@ class PhraseBlock:
         self.frequency = np.zeros(len(self.terms), np.int64)
 
 
-def phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[PhraseBlock]:
-    """The benchmark on the driver, one bounded block after the other."""
-    block, held = [], 0
-    for row in benchmark.select(id_col, text_col).toLocalIterator():
-        words, _ = word_hashes(pa.array([row[1]], pa.string()))
-        if block and held + len(words) > BLOCK_WORDS:
-            yield PhraseBlock(block, window)
-            block, held = [], 0
-        if len(words):
-            block.append((row[0], words))
-            held += len(words)
-    if block:
-        yield PhraseBlock(block, window)
+def phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """The benchmark as a stored table of packed ``PhraseBlock`` rows: ``block``, ``packed``."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        held, words = [], 0
+
+        def row() -> pa.RecordBatch:
+            packed = pickle.dumps(PhraseBlock(held, window))
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([packed], pa.binary())], names=["block", "packed"])
+
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own, _ = word_hashes(pa.array([text.as_py()], pa.string()))
+                if held and words + len(own) > BLOCK_WORDS:
+                    yield row()
+                    held, words, number = [], 0, number + 1
+                if len(own):
+                    held.append((item, own))
+                    words += len(own)
+        if held:
+            yield row()
+
+    with_package(benchmark.sparkSession)
+    return staged(benchmark.select(id_col, text_col).mapInArrow(pack, "block long, packed binary"), "phrase-blocks")
 
 
 class Segment:
@@ -213,28 +231,34 @@ def _match_segment(segment: Segment, block: PhraseBlock, slop: int) -> Iterator[
         yield doc, spans, sorted(exact.get(doc, ())), sorted(near.get(doc, ()))
 
 
-def corpus_frequency(index: DataFrame, block: PhraseBlock) -> np.ndarray:
-    """How often each term of a benchmark block occurs in the indexed documents."""
-    shared = index.sparkSession.sparkContext.broadcast(block.terms)
+def _block_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for number, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            terms = pickle.loads(packed).terms.view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(terms), number)), pa.array(np.arange(len(terms), dtype=np.int32)), pa.array(terms)], names=["block", "at", "term"]
+            )
+
+
+def with_frequencies(index: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``blocks`` with ``frequency``: how often each of a block's terms, in their order, occurs in the indexed documents.
+    One pass over the index counts the terms of all blocks."""
+    terms = staged(blocks.mapInArrow(_block_terms, "block long, at int, term long"), "phrase-terms")
+    shared = index.sparkSession.sparkContext.broadcast(_bit_set(terms.select("term")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(shared.value), np.int64)
+        wanted = np.unpackbits(shared.value).view(bool)
         for batch in batches:
             for row in batch.to_pylist():
-                terms, starts = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["starts"], np.int32)
-                at = np.minimum(np.searchsorted(terms, shared.value), max(0, len(terms) - 1))
-                here = np.flatnonzero(terms[at] == shared.value) if len(terms) else np.zeros(0, np.int64)
+                own, starts = np.frombuffer(row["terms"], np.int64), np.frombuffer(row["starts"], np.int32)
+                here = np.flatnonzero(wanted[_slots(own)])
                 counts = np.diff(np.append(starts, row["n"]))
-                total[here] += counts[at[here]]
-        here = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(total[here])], names=["term", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(own[here]), pa.array(counts[here].astype(np.int64))], names=["term", "n"])
 
     words = F.aggregate("n_words", F.lit(0).cast("long"), lambda a, n: a + n)
-    counted = index.select("terms", "starts", words.alias("n")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(block.terms), np.int64)
-    for row in counted.toLocalIterator():
-        out[row["term"]] = row["n"]
-    return out
+    seen = index.select("terms", "starts", words.alias("n")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = terms.join(seen, "term", "left").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n")))).alias("f"))
+    return staged(blocks.join(found, "block").select("block", "packed", F.col("f.n").alias("frequency")), "counted-phrase-blocks")
 
 
 def find_matches(
@@ -261,7 +285,9 @@ def find_matches(
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark.sql.pandas.types import to_arrow_schema
 
-            block, out = shared.value, to_arrow_schema(found_schema)
+            packed, frequency = shared.value
+            block, out = pickle.loads(packed), to_arrow_schema(found_schema)
+            block.frequency = np.frombuffer(frequency, np.int64)
             for batch in batches:
                 for row in batch.to_pylist():
                     segment = Segment(row["terms"], row["starts"], row["positions"], np.array(row["n_words"], np.int64))
@@ -277,13 +303,13 @@ def find_matches(
     documents = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("ordinal", "__doc")).select(
         "segment", "ordinal", F.col("__doc.doc_ids").alias(id_col), F.col("__doc.n_words").cast("long").alias("n_words")
     )
-    found = None
-    for block in phrase_blocks(benchmark, item_col, item_text, window):
-        block.frequency = corpus_frequency(index, block)
-        hits = search(spark.sparkContext.broadcast(block))
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = spark.createDataFrame([], found_schema)
+    path = new_run_dir(spark, "phrase-matches")
+    spark.createDataFrame([], found_schema).write.parquet(path)
+    for block in with_frequencies(index, phrase_blocks(benchmark, item_col, item_text, window)).toLocalIterator():
+        shared = spark.sparkContext.broadcast((bytes(block["packed"]), np.array(block["frequency"], np.int64).tobytes()))
+        search(shared).write.mode("append").parquet(path)
+        shared.unpersist()
+    found = spark.read.schema(found_schema).parquet(path)
     texts = lambda items: F.array_sort(F.array_distinct(F.transform(F.flatten(F.collect_list(items)), lambda i: F.coalesce(i.cast("string"), F.lit("")))))
     found = found.groupBy("segment", "ordinal").agg(
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), texts("items").alias("item_ids"), texts("near").alias("near_item_ids")
