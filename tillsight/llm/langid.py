@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from tillsight.llm.common import groups_of, staged, unit_hash, with_package
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+#: Bounds of what a language is learnt from: different texts, and of their words met up to three times
+#: as many as make about so many words in all (each stands for those left out).
 SAMPLE_DOCS = 800
 SAMPLE_WORDS = 30_000
 PASSES = 2
@@ -47,12 +49,15 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def vocabulary(path: str = VOCABULARY) -> list[str]:
-    """Pieces of letters (and the start mark) of a SentencePiece model, up to ``LONGEST`` characters."""
+    """Pieces of letters (and the start mark) of a SentencePiece model; one of over ``LONGEST`` characters is an error."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p for p in found if len(p) <= LONGEST and (p == _START or p.lstrip(_START).isalpha()) and p == p.lower()})
+    pieces = sorted({p for p in found if (p == _START or p.lstrip(_START).isalpha()) and p == p.lower()})
+    if max(map(len, pieces), default=0) > LONGEST:
+        raise ValueError(f"the vocabulary has pieces of over {LONGEST} characters")
+    return pieces
 
 
 def words_of(text: str) -> list[str]:
@@ -312,8 +317,8 @@ def scorer_of(name: str, shared) -> Scorer:
 
 
 def predict_column(spark: SparkSession, model, text: Column) -> Column:
-    """Struct of ``lang_pred`` and ``score``, the predicted language's share of the likelihood
-    per word over all languages; ``und`` and 0 if there are no letters (or no languages)."""
+    """Struct of ``lang_pred`` and ``score``, the predicted language's share of the whole text's likelihood
+    over all languages; ``und`` and 0 if there are no letters (or no languages)."""
     shared, name = with_package(spark).sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

@@ -81,9 +81,9 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, NEIGHBOURS)
 
 
-def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op9_language_id(spark: SparkSession, sf_dir: str, pieces_path: str = langid.VOCABULARY) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
+    model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))), pieces_path=pieces_path)
     held = langid.held_out(F.col("doc_id")).alias("held_out")
     found = langid.predict_column(spark, model, F.col("text"))
     return docs.select("doc_id", held, found.alias("found")).select("doc_id", "held_out", "found.lang_pred", "found.score")
@@ -112,10 +112,9 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_inertia(*centroids.cluster_vectors(_table(spark, sf_dir, "embeddings")))
 
 
-def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode_texts(_table(spark, sf_dir, "documents"))
-    decoded = bpe.decode_column(spark, F.col("ids"))
-    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoded.cast("binary"), 256).alias("decoded_sha256"))
+def op13_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: tuple[bytes, str] | None = None) -> DataFrame:
+    coded = bpe.encode_texts(_table(spark, sf_dir, "documents"), vocabulary=vocabulary, decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
