@@ -85,6 +85,42 @@ def test_components_of_crowded_fingerprints(spark, bucket):
     assert len(pairs) == len(set(roots)) == len(set(wanted))
 
 
+def test_crowded_keys_are_dealt_before_they_meet(spark, monkeypatch):
+    """100,000 fingerprints that agree in 32 bits: no task holds them all, and no link is lost."""
+    rng = np.random.default_rng(17)
+    mask = np.uint64(simhash.key_masks()[0])
+    base = np.uint64(0x0123456789ABCDEF) & mask
+    fps = np.unique(base | (rng.integers(0, 1 << 63, 100_000, dtype=np.uint64) * np.uint64(2) & ~mask))
+    free = [b for b in range(64) if not int(mask) >> b & 1]
+    near = fps[:300] ^ np.array([sum(1 << b for b in rng.choice(free, 3, replace=False)) for _ in range(300)], np.uint64)
+    fps = np.unique(np.concatenate([fps, near]))
+    met, plain_meet = [], simhash._meet
+
+    def watched(dealt, task):
+        met.append(dealt.groupBy("key", "masked").count().agg({"count": "max"}).collect()[0][0] or 0)
+        return plain_meet(dealt, task)
+
+    monkeypatch.setattr(simhash, "_meet", watched)
+    frame = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    found = simhash.links(frame).collect()
+    assert met[0] <= simhash.BUCKET and met[1] <= 1 << 18 and met[1] < len(fps) / 10
+    pairs = np.array([(r.u, r.v) for r in found], np.int64).view(np.uint64)
+    assert (np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= 3).all()
+    root = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in pairs.tolist():
+        root[find(u)] = find(v)
+    for x in near.tolist():  # each planted one is linked with all that are close to it
+        close = fps[np.bitwise_count(fps ^ np.uint64(x)) <= 3]
+        assert len(close) > 1 and len({find(y) for y in close.tolist()}) == 1
+    assert simhash.crowded_keys(frame.limit(50).selectExpr("0 AS key", "fp AS masked", "fp"), 4096) is None
+
+
 def test_query_against_brute_force(spark, tmp_path):
     rng = random.Random(3)
     rows = [r for r in edge_rows() if r[0] is None or r[0] < 9]

@@ -7,9 +7,10 @@ blocks is a key, and every pair to be found shares at least one key.  The keys f
 32 of 64 bits.  Entries meet on a key in a sorted stream; there the Hamming distance is
 computed, and the entries of a key give a spanning forest of its links, never all pairs.
 
-A key with over ``BUCKET`` entries is not compared in one place: its entries are dealt
-again by the same rule applied to the bits the key leaves free, which fixes about half of them
-too, so that what then meets is bounded by the number of values the last bits can take.
+A key with over ``BUCKET`` entries is not compared in one place: such keys are found by counting before
+anything meets, and their entries are dealt by the same rule applied to the bits the key leaves free, which
+fixes about half of them too, so that what then meets is bounded by the number of values
+the last bits can take (15 to 18 bits: 262,144 at most).
 
 Components come from alternating large-star and small-star rounds over the links, each
 round written to the shared folder.
@@ -33,6 +34,9 @@ SHINGLE = 3
 DISTANCE = 3
 BLOCKS = 6
 BUCKET = 1 << 12
+#: One in so many fingerprints is counted to find crowded keys; up to ``SMALL`` of these are broadcast.
+COUNTED = 1 << 4
+SMALL = 100_000
 SEED = 42
 _SLICE = 1 << 16
 
@@ -166,13 +170,31 @@ def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, bucket
     keys = F.array(*(F.struct(F.lit(k).alias("key"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("masked")) for k, m in enumerate(masks)))
     dealt = fps.select("fp", F.explode(keys).alias("k")).select("k.key", "k.masked", "fp")
     seconds = [second_masks(m, distance, blocks) for m in masks]
-    first = staged(_meet(dealt, _met(distance, bucket, seconds)), "simhash-met")
-    crowded = first.filter("again IS NOT NULL").select(F.col("again").alias("key"), F.col("b").alias("masked"), F.col("a").alias("fp"))
-    second = _meet(crowded, _met(distance))
+    crowded = crowded_keys(dealt, bucket)
+    apart, again = dealt, None
+    if crowded is not None:
+        apart = dealt.join(crowded, ["key", "masked"], "left_anti")
+        of_key = F.array(*(F.array(*(F.lit(_signed(m)) for m in own)) for own in seconds))
+        redealt = dealt.join(crowded, ["key", "masked"], "left_semi").select("key", "fp", F.posexplode(F.get(of_key, F.col("key"))).alias("n", "mask"))
+        again = redealt.select((F.col("key") * len(seconds[0]) + F.col("n")).alias("key"), F.col("fp").bitwiseAND(F.col("mask")).alias("masked"), "fp")
+    first = staged(_meet(apart, _met(distance, bucket, seconds)), "simhash-met")
+    found_so = first.filter("again IS NOT NULL").select(F.col("again").alias("key"), F.col("b").alias("masked"), F.col("a").alias("fp"))
+    second = _meet(found_so if again is None else again.unionByName(found_so), _met(distance))
     pairs = first.filter("again IS NULL").select("a", "b").unionByName(second.select("a", "b"))
     return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
 
+def crowded_keys(dealt: DataFrame, bucket: int) -> DataFrame | None:
+    """``key`` and ``masked`` of the keys that seem to have over ``bucket`` entries, judged by one in ``COUNTED``
+    fingerprints; None if none does.  These are dealt by their second masks before anything is shuffled.
+    Either way of dealing finds all links of a key; one that is crowded and was not seen here is dealt again by
+    the task that meets it."""
+    some = dealt.filter(F.pmod(F.xxhash64("fp"), F.lit(COUNTED)) == 0)
+    found = staged(some.groupBy("key", "masked").count().filter(F.col("count") * (2 * COUNTED) > bucket).select("key", "masked"), "crowded-keys")
+    n = found.count()
+    return None if not n else F.broadcast(found) if n <= SMALL else found
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (its component's smallest node) for every other node of the links
     ``u`` > ``v``.  Alternating large-star and small-star rounds until nothing changes; the
