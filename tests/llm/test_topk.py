@@ -57,8 +57,8 @@ def test_bounds_prune_leaves():
     for node, (a, b) in enumerate(tree.bounds):
         assert (upper[:, node] >= (queries_ @ tree.points[a:b].T).max(axis=1)).all()
     rows = np.arange(0, len(points), 100)
-    near = topk.search(tree, rows, queries_, np.full(len(rows), -np.inf), 5, True)
-    kth = np.array([near[1][near[0] == q].min() for q in range(len(rows))])
+    exact = topk.search(tree, rows, queries_, np.full(len(rows), topk._NO_FLOOR), 5)
+    kth = np.array([exact[1][exact[0] == q].min() for q in range(len(rows))])
     visited = []
 
     class Watched(np.ndarray):
@@ -69,13 +69,55 @@ def test_bounds_prune_leaves():
             return out
 
     tree.points = tree.points.view(Watched)
-    found = topk.search(tree, rows, queries_, kth, 5, False)
+    found = topk.search(tree, rows, queries_, kth, 5)
     assert sum(visited) < 0.6 * len(points)
     scores = queries_ @ np.asarray(points).T
     scores[np.arange(len(rows)), rows] = -np.inf
     assert [sorted(found[1][found[0] == q])[-5:] for q in range(len(rows))] == [sorted(s)[-5:] for s in scores.tolist()]
 
 
+def test_scores_beyond_doubles(spark):
+    """Products over 2**53 are exact; one that no long holds is an error."""
+    rows = [(i, [float(2**24 + i), float(2**24 - 3 * i), float(i)]) for i in range(60)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 60, shard_rows=16).collect()
+    whole = {i: [64 * int(x) for x in v] for i, v in rows}
+    for r in got:
+        assert r.score == sum(a * b for a, b in zip(whole[r.query_id], whole[r.vec_id], strict=True)) > 2**53
+    assert len(got) == 3 * 59
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(spark.createDataFrame([(i, [1e12 + i]) for i in range(30)], "vec_id long, embedding array<double>"), F.col("vec_id") == 20, 3).collect()
+
+
+def test_shards_by_space(spark, monkeypatch):
+    """Clusters apart in space: equal vectors are split over shards, and only near shards are searched."""
+    rng = np.random.default_rng(3)
+    points = np.concatenate([rng.normal(0, 0.3, (150, 5)) + c for c in np.eye(5) * 40] + [np.tile([40.0, 0, 0, 0, 1], (200, 1))])
+    rows = [(i, x.tolist()) for i, x in enumerate(points)]
+    seen = []
+    plain_staged = topk.staged
+
+    def watched(df, purpose, *more):
+        out = plain_staged(df, purpose, *more)
+        if purpose in ("ball-trees", "shards-to-search"):
+            seen.append(out)
+        return out
+
+    monkeypatch.setattr(topk, "staged", watched)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 10, shard_rows=50).collect()
+    whole = np.floor(64 * points).astype(np.int64)
+    for i in range(0, len(points), 20):
+        scores = sorted((-int(whole[i] @ whole[j]), j) for j in range(len(points)) if j != i)
+        assert [(r.score, r.vec_id) for r in sorted((r for r in found if r.query_id == i), key=lambda r: r["rank"])] == [(-s, j) for s, j in scores[:10]]
+    trees, first, second = seen
+    sizes = [len(bytes(r.rows)) // 8 for r in trees.collect()]
+    assert sum(sizes) == len(points) and max(sizes) <= 100 and len(sizes) >= 12
+    asked = lambda pairs: sum(len(r.queries) for r in pairs.collect())
+    n_queries = len(range(0, len(points), 20))
+    assert asked(first) == topk.FIRST_SHARDS * n_queries  # the best ones of each
+    assert asked(second) < 0.6 * n_queries * len(sizes)
+
+
 def test_query_matches_sql(spark):
     sf = "/root/testdata/sf0.001"
     result = compare(spark, duck(sf), "op8", queries.op8_exact_topk, TOPK, sf)
