@@ -122,3 +122,26 @@ def test_query_matches_sql(spark):
     sf = "/root/testdata/sf0.001"
     result = compare(spark, duck(sf), "op10", queries.op10_decontamination, DECONTAMINATION, sf)
     assert result["columns_match"] and result["match"], result
+
+
+def test_clashing_columns_and_plans(spark):
+    """Columns named like the index's change nothing; the plan of the matches is the same for one block and for many."""
+    rng = random.Random(21)
+    items = [(i, prose(rng, 30, 2000)) for i in range(40)]
+    rows = [(i, prose(rng, 50, 2000) + (f" {items[i % 40][1]} " if i % 3 == 0 else " ") + prose(rng, 20, 2000), "en", "a") for i in range(60)]
+    docs = docs_frame(spark, rows)
+    more = docs.selectExpr("*", "1 AS segment", "2 AS n_words", "'x' AS terms", "3 AS n_hit", "4 AS spans", "5 AS block")
+    bench = spark.createDataFrame([(*r, 7, "y") for r in items], "item_id int, text string, block int, packed string")
+    told = lambda found: sorted((r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in found.collect())
+    plans = []
+    for words_a_block in (200_000, 60):
+        decontam.BLOCK_WORDS, before = words_a_block, decontam.BLOCK_WORDS
+        try:
+            found = decontam.find_matches(decontam.build_index(more), bench)
+        finally:
+            decontam.BLOCK_WORDS = before
+        wanted = plain([r[1] for r in rows], items)
+        assert told(found) == sorted((r[0], w[0], w[1], tuple(w[2])) for r, w in zip(rows, wanted, strict=True))
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString().count("\n"))
+    assert plans[0] == plans[1]
+    assert decontam.decontaminate(more, bench).columns == more.columns

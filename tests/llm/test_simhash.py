@@ -147,3 +147,12 @@ def test_drop_keeps_one_row_of_each_group(spark):
     assert kept.count() == len(set(groups))
     assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_clashing_columns(spark):
+    docs = docs_frame(spark, edge_rows())
+    more = docs.selectExpr("*", "'x' AS fp", "1 AS key", "2 AS masked", "3 AS component_id", "4 AS node", "5 AS root")
+    told = lambda frame: sorted(((r.doc_id, r.fp, r.component_id) for r in simhash.near_duplicates(frame).collect()), key=str)
+    assert told(more) == told(docs)
+    kept = simhash.drop_near_duplicates(more)
+    assert kept.columns == more.columns and kept.count() == simhash.drop_near_duplicates(docs).count()

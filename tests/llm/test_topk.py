@@ -122,3 +122,11 @@ def test_query_matches_sql(spark):
     sf = "/root/testdata/sf0.001"
     result = compare(spark, duck(sf), "op8", queries.op8_exact_topk, TOPK, sf)
     assert result["columns_match"] and result["match"], result
+
+
+def test_clashing_columns(spark):
+    rows = [(i, [float(i % 7), float(i % 5), 1.0], "x", 1) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, v string, shard int")
+    more = frame.selectExpr("*", "2 AS cell", "3 AS block", "4 AS score", "5 AS query_id", "6 AS rank")
+    found = lambda f: sorted(tuple(r) for r in topk.top_k(f, F.col("vec_id") % 20 == 0, 5, shard_rows=20).collect())
+    assert found(more) == found(frame.select("vec_id", "embedding"))

@@ -118,6 +118,7 @@ class PhraseBlock:
 
 def phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """The benchmark as a stored table of packed ``PhraseBlock`` rows: ``block``, ``packed``."""
+    most = BLOCK_WORDS
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -130,7 +131,7 @@ def phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int)
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own, _ = word_hashes(pa.array([text.as_py()], pa.string()))
-                if held and words + len(own) > BLOCK_WORDS:
+                if held and words + len(own) > most:
                     yield row()
                     held, words, number = [], 0, number + 1
                 if len(own):

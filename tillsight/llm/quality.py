@@ -215,6 +215,8 @@ def classifier(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with all their columns."""
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns.  Null and empty texts
+    score like a text without words, equal texts alike; null ids and repeated rows are rows of their own; an empty table
+    gives no rows."""
     weights = classifier(docs, labels)
     return docs.filter(score_column(docs.sparkSession, weights, F.col("text")) >= threshold)
