@@ -261,3 +261,29 @@ def test_five_tables_read_one_dimension_aggregate(spark):
             assert [tuple(r) for r in tables.table(name).collect()] == [tuple(r) for r in direct.table(name).collect()], name
     finally:
         discard(spark, paths)
+
+
+def test_lines_of_an_order_stay_together_after_a_part_shuffle(spark):
+    """A part side too large for a broadcast is joined before the orders, so the lines come out
+    clustered by order and the aggregates by invoice collapse them within a task."""
+    from pyspark.sql import functions as F
+
+    from tillsight.sources.fixture import invoice_lines_from_tables
+
+    tables = [
+        spark.range(0, 4000, 1, 4).selectExpr("id DIV 8 AS l_orderkey", "id * 7 % 300 AS l_partkey", "CAST(id % 8 AS int) AS l_linenumber", "2D AS l_quantity"),
+        spark.range(500).selectExpr("id AS o_orderkey", "id % 50 AS o_custkey", "'O' AS o_orderstatus", "timestamp_ntz'2011-01-01 00:00:00' AS o_orderdate"),
+        spark.range(50).selectExpr("id AS c_custkey", "1 AS c_nationkey"),
+        spark.sql("SELECT 1 AS n_nationkey, 'NATION_1' AS n_name"),
+        spark.range(300).selectExpr("id AS p_partkey", "concat('part ', id) AS p_name", "1.5D AS p_retailprice"),
+    ]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lines = invoice_lines_from_tables(*tables).select("InvoiceNo", F.spark_partition_id().alias("at"))
+        spread = lines.groupBy("InvoiceNo").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("at").alias("parts")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(spread) == 500 and all(r.n == 8 and r.parts == 1 for r in spread)

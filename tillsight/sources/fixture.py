@@ -8,7 +8,7 @@ Plan shape: every rule that depends only on an order (invoice number,
 customer, country, timestamp text) is evaluated on the orders side, and every
 rule that depends only on a part (stock code, description, price text) on the
 part side, so the line-grain stream only carries finished strings through its
-two joins.  The line x order join is a declared shuffle join (both sides are
+two joins.  Parts are joined first and orders last, so the lines of an order lie together.  The line x order join is a declared shuffle join (both sides are
 fact-sized); the dimension joins are left to Catalyst/AQE, which broadcasts a
 side only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles.  AQE's skew
@@ -149,12 +149,14 @@ def invoice_lines_from_tables(
     orders = _order_side(orders, customer, nation)
     parts = _part_side(part)
 
-    # Line x order is a fact-to-fact join: at any real scale neither side fits
-    # a broadcast, so it is declared as a shuffle (sort-merge) join on the
-    # order key; AQE splits a skewed order key.  The part side is left to
-    # Catalyst's size-checked broadcast.
-    joined = lines.join(orders.hint("merge"), lines.l_orderkey == orders.order_key).join(
-        parts, lines.l_partkey == parts.part_key
+    # Line x part goes first, and is left to Catalyst's size-checked broadcast; a part
+    # side too large for it shuffles four numbers a line.  Line x order is a
+    # fact-to-fact join: at any real scale neither side fits a broadcast, so it is
+    # declared as a shuffle (sort-merge) join on the order key; AQE splits a skewed
+    # order key.  Being last, it leaves the lines of an order together, whatever the
+    # part join was, so the aggregates by invoice collapse them before their shuffle.
+    joined = lines.join(parts, lines.l_partkey == parts.part_key).join(
+        orders.hint("merge"), lines.l_orderkey == orders.order_key
     )
     whole_quantity = _text(F.col("l_quantity").cast("bigint"))
     quantity_dirt = (F.col("l_orderkey") + F.col("l_linenumber")) % BAD_QUANTITY_MODULUS
