@@ -7,6 +7,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     DateType,
     DoubleType,
@@ -109,6 +110,52 @@ def test_json_array_of_a_million_rows(spark):
     assert back.count() == 1_000_000 and back.exceptAll(rows).count() == 0
 
 
+def test_json_array_parts_are_the_partitions(spark, monkeypatch):
+    """Each partition is written where it lies, without a shuffle or a staged copy; empty ones may stand first and last."""
+    import json
+
+    from tillsight.sinks import files
+
+    monkeypatch.setattr(files, "ONE_FILE_ROWS", 1000)
+    monkeypatch.setattr(DataFrame, "repartitionByRange", lambda *_: pytest.fail("a range shuffle of the rows"))
+    rows = spark.range(0, 8000, 1, 8).filter("id >= 1500 AND id < 6500").selectExpr("id AS Number", "if(id % 2 = 0, NULL, 'x') AS Name", "1 AS Same")
+    path = files.write_json_array(rows, new_run_dir(spark, "test-array-parts"))
+    parts = [open(os.path.join(path, f), encoding="utf-8").read() for f in sorted(os.listdir(path)) if f.startswith("part-")]
+    parts = [p for p in parts if p]
+    assert [p.count("\n") for p in parts] == [500, 1000, 1000, 1000, 1000, 500]
+    assert [r["Number"] for r in json.loads("".join(parts))] == list(range(1500, 6500))
+    back = files.read_json_array(spark, path, rows.schema)
+    assert back.count() == 5000 and back.exceptAll(rows).count() == 0
+    assert not files._is_kept(rows)
+
+
+def test_json_array_leaves_a_kept_frame_kept(spark, monkeypatch):
+    from tillsight.sinks import files
+
+    monkeypatch.setattr(files, "ONE_FILE_ROWS", 10)
+    rows = spark.range(0, 40, 1, 4).selectExpr("id % 3 AS Number").persist()
+    try:
+        path = files.write_json_array(rows, new_run_dir(spark, "test-kept-array"))
+        assert files._is_kept(rows)
+        assert files.read_json_array(spark, path, rows.schema).exceptAll(rows).count() == 0
+    finally:
+        rows.unpersist()
+
+
+@pytest.mark.parametrize("limit", [10, 1000])
+def test_json_array_of_repeated_rows(spark, monkeypatch, limit):
+    import json
+
+    from tillsight.sinks import files
+
+    monkeypatch.setattr(files, "ONE_FILE_ROWS", limit)
+    rows = spark.range(0, 60, 1, 5).selectExpr("if(id % 2 = 0, NULL, id) AS Key").union(spark.range(0, 60, 1, 3).selectExpr("CAST(NULL AS bigint)"))
+    path = files.write_json_array(rows, new_run_dir(spark, "test-repeated"))
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    document = json.loads("".join(open(os.path.join(path, f), encoding="utf-8").read() for f in parts))
+    assert [r["Key"] for r in document] == [r.Key for r in rows.collect()]
+
+
 def test_json_array_leaves_no_scratch(spark, monkeypatch):
     from tillsight.plans.scratch import checkpoint_root
     from tillsight.sinks import files

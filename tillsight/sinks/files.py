@@ -8,12 +8,11 @@ keeps their sort order; all others keep their partitioning.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillsight.plans.scratch import discard, stage
-
 # ISO-8601 value serialisation.
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
@@ -74,33 +73,37 @@ def write_json_array(df: DataFrame, path: str, rows: int | None = None, **option
     of row objects in the frame's order; up to ``ONE_FILE_ROWS`` rows are one file.
 
     Every line is one object, with the bracket or comma that its place in the whole array asks
-    for.  A larger table is written once as numbered objects, whose numbers ascend over the frame's
-    partitions; the smallest and largest of them get the brackets, and a range
-    partition by number writes the parts.  Nothing is gathered in one task or on the driver.
+    for.  The frame is computed once and kept until it is written (unless the caller keeps it already).  Its
+    rows are numbered by partition and place in it: a first job over what is kept finds the first and the last
+    number, which get the brackets, and a second writes each partition as a part of its own.
+    The text is neither staged nor shuffled, and of a larger table nothing is gathered in one task or on the driver.
     """
-    spark = df.sparkSession
     settings = {**JSON_OPTIONS, "ignoreNullFields": "false", **options}
-    rows = df.count() if rows is None else rows
-    numbered = lambda table: table.select(
-        F.monotonically_increasing_id().alias("_at"), F.to_json(F.struct(*table.columns), settings).alias("_row")
-    )
-    paths: list[str] = []
+    numbered = lambda table, *columns: table.select(F.monotonically_increasing_id().alias("_at"), *columns)
+    own = not _is_kept(df)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if own else df
     try:
-        if not rows:
-            text = spark.sql("SELECT '[]' AS value")
-        elif rows <= ONE_FILE_ROWS:
-            text = _in_brackets(numbered(df.coalesce(1)), 0, rows - 1)
+        count, first, last = numbered(kept).agg(F.count("_at"), F.min("_at"), F.max("_at")).first()
+        objects = numbered(kept, F.to_json(F.struct(*df.columns), settings).alias("_row"))
+        if not count:
+            text = df.sparkSession.sql("SELECT '[]' AS value")
+        elif (count if rows is None else rows) <= ONE_FILE_ROWS:
+            text = _in_brackets(objects.coalesce(1).sortWithinPartitions("_at"), first, last)
         else:
-            objects = stage(spark, numbered(df), "json-array", paths)
-            first, last = objects.agg(F.min("_at"), F.max("_at")).collect()[0]
-            parts = objects.repartitionByRange(-(-rows // ONE_FILE_ROWS), "_at").sortWithinPartitions("_at")
-            text = _in_brackets(parts, first, last)
+            text = _in_brackets(objects, first, last)
         text.write.mode("overwrite").text(path)
     finally:
-        discard(spark, paths)
+        if own:
+            kept.unpersist()
     return path
 
 
+def _is_kept(df: DataFrame) -> bool:
+    """Whether ``df`` is persisted already."""
+    level = df.storageLevel
+    return level.useMemory or level.useDisk
+
+
 def _in_brackets(objects: DataFrame, first: int, last: int) -> DataFrame:
     before = F.when(F.col("_at") == first, "[").otherwise(",")
     after = F.when(F.col("_at") == last, "]").otherwise("")
