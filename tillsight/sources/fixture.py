@@ -145,7 +145,8 @@ def invoice_lines_from_tables(
     Repeated ``(l_orderkey, l_linenumber)`` pairs are kept: the original job
     never de-duplicates invoice lines.
     """
-    lines = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    keyed = F.col("l_orderkey").isNotNull() & F.col("l_partkey").isNotNull()  # others join nothing
+    lines = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity").filter(keyed)
     orders = _order_side(orders, customer, nation)
     parts = _part_side(part)
 
